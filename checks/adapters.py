@@ -65,11 +65,13 @@ _later = "cast(cast(o_orderdate AS date) + INTERVAL '240' MONTH AS date)"
 _kinds = (("BX10", "1.00", "1000"), ("BX13", "0.18", "180"), ("BX23", "0.05", "50"), ("BX72", "0.07", "76"))
 _kinds += (("BX82", "0.01", "16"), ("IPVA", "0.04", "45"))
 _two_plans = "(VALUES ('P0', 'Plan 1997'), ('P1', 'Plan 1998')) AS pl(plan_id, plan_name)"
-_months = "(VALUES " + ", ".join(f"({m})" for m in range(1, 13)) + ") AS mo(m)"
-_accounts = "(VALUES (0), (1), (2), (3)) AS ac(g)"
-_brands = (
-    "(SELECT DISTINCT p_brand, cast(replace(p_brand, 'Brand#', '') AS int) % 25 AS b FROM part) AS br"
-)
+_seen = """(SELECT DISTINCT o_custkey AS c, o_orderkey % 4 AS g, month(cast(o_orderdate AS date)) AS m FROM orders) AS seen"""
+
+
+def owner(key: str) -> str:
+    """Two neighbouring keys share an owner."""
+    return f"cast({key} - {key} % 2 AS string)"
+
 
 TABLES: dict[str, str] = {
     "line": f"""SELECT l_orderkey AS ok, l_linenumber AS ln,
@@ -259,63 +261,62 @@ TABLES: dict[str, str] = {
         'G' || cast(o_orderkey % 4 AS string) AS tco_cost_gl_account,
         'Account ' || cast(o_orderkey % 4 AS string) AS tco_cost_gl_accountname, {money('o_totalprice')} AS tco_cost_value,
         'm' || {z('month(cast(o_orderdate AS date))', 2)} AS tco_stringmonth,
-        'C' || cast(o_custkey % 26 AS string) AS tco_cost_cost_center FROM orders""",
-    "tco_cost_center": f"""SELECT 'C' || cast(n_nationkey AS string) AS tco_cost_centerid,
-        'CC' || cast(n_nationkey AS string) AS tco_cost_center_id, n_name AS tco_cost_center_nm,
-        CASE WHEN n_nationkey = 24 THEN NULL ELSE 'F' || cast(n_nationkey % 3 AS string) END AS tco_function,
-        'O' || cast(n_nationkey % 6 AS string) AS tco_capabilityowner,
-        'Owner ' || cast(n_nationkey % 6 AS string) AS tco_capabilityownername,
-        'Y' || cast(n_nationkey % 6 AS string) AS tco_capabilityowneryominame, {money('n_nationkey')} AS tco_totalassigned,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM nation CROSS JOIN {_two_plans}
-        WHERE plan_id = 'P1' OR n_nationkey < 20""",
+        'C' || cast(o_custkey AS string) AS tco_cost_cost_center FROM orders""",
+    "tco_cost_center": f"""SELECT 'C' || cast(c_custkey AS string) AS tco_cost_centerid,
+        'CC' || cast(c_custkey AS string) AS tco_cost_center_id, c_name AS tco_cost_center_nm,
+        CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE 'F' || cast((c_custkey - c_custkey % 2) % 3 AS string) END AS tco_function,
+        'O' || {owner('c_custkey')} AS tco_capabilityowner, 'Owner ' || {owner('c_custkey')} AS tco_capabilityownername,
+        'Y' || {owner('c_custkey')} AS tco_capabilityowneryominame, {money('c_acctbal')} AS tco_totalassigned,
+        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM customer CROSS JOIN {_two_plans}
+        WHERE plan_id = 'P1' OR c_custkey % 5 <> 0""",
     "tco_gl_account": f"""SELECT 'G' || cast(r_regionkey AS string) AS tco_gl_accountid,
         'GL' || cast(r_regionkey AS string) AS tco_gl_account_id, 'AG' || cast(r_regionkey % 2 AS string)
         AS tco_gl_account_account_group, 'Group ' || cast(r_regionkey % 2 AS string) AS tco_gl_account_account_groupname,
         CASE WHEN r_regionkey = 3 THEN '0' ELSE '1' END AS tco_todisplay,
         plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM region CROSS JOIN {_two_plans}
         WHERE r_regionkey < 4""",
-    "tco_cost_center_allocation": f"""SELECT 'C' || cast(n_nationkey AS string) AS tco_cost_center_allocation_cost_center,
+    "tco_cost_center_allocation": f"""SELECT 'C' || cast(c AS string) AS tco_cost_center_allocation_cost_center,
         'G' || cast(g AS string) AS tco_cost_center_allocation_gl_account,
         plan_id AS tco_cost_center_allocation_financial_plan, plan_name AS tco_cost_center_allocation_financial_planname,
         'M' || {z('m', 2)} AS tco_monthname,
-        cast(CASE n_nationkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 60 ELSE 33.25 END AS decimal(7,2)) AS tco_assignment
-        FROM nation CROSS JOIN {_accounts} CROSS JOIN {_months} CROSS JOIN {_two_plans}
-        WHERE (n_nationkey + g + m) % 7 <> 0 AND n_nationkey <> 11""",
-    "tco_application": f"""SELECT 'A' || cast(b AS string) AS tco_applicationid, 'APP' || cast(b AS string) AS tco_application_id,
-        p_brand AS tco_application_name, 'O' || cast(b % 6 AS string) AS tco_capabilityowner,
-        'Owner ' || cast(b % 6 AS string) AS tco_capabilityownername, 'Lead ' || cast(b AS string) AS tco_ownername,
-        'lead' || cast(b AS string) AS tco_ownerstring, CASE WHEN b = 13 THEN 'Inactive' ELSE 'Active' END AS statuscodename,
-        'S' || cast(b % 4 AS string) AS tco_shared_component_type,
-        'Comp ' || cast(b % 4 AS string) AS tco_shared_component_typename,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM {_brands} CROSS JOIN {_two_plans}""",
-    "tco_application_assignment": f"""SELECT 'A' || cast((n_nationkey + k * 6) % 25 AS string) AS tco_application,
-        'Brand#' || cast((n_nationkey + k * 6) % 25 AS string) AS tco_applicationname,
-        'C' || cast(n_nationkey AS string) AS tco_cost_center, 'G' || cast(g AS string) AS tco_gl_account,
-        'M' || {z('m', 2)} AS tco_monthname,
-        cast(CASE WHEN (n_nationkey + k * 6) % 25 = 5 THEN 0 WHEN k = 0 THEN 60 ELSE 39.5 END AS decimal(7,2)) AS tco_assignment,
+        cast(CASE c % 3 WHEN 0 THEN 100 WHEN 1 THEN 60 ELSE 33.25 END AS decimal(7,2)) AS tco_assignment
+        FROM {_seen} CROSS JOIN {_two_plans} WHERE (c + g + m) % 7 <> 0 AND c % 11 <> 3""",
+    "tco_application": f"""SELECT 'A' || cast(p_partkey AS string) AS tco_applicationid,
+        'APP' || cast(p_partkey AS string) AS tco_application_id, 'App ' || cast(p_partkey AS string) AS tco_application_name,
+        'O' || {owner('p_partkey')} AS tco_capabilityowner, 'Owner ' || {owner('p_partkey')} AS tco_capabilityownername,
+        'Lead ' || cast(p_partkey AS string) AS tco_ownername, 'lead' || cast(p_partkey AS string) AS tco_ownerstring,
+        CASE WHEN p_partkey % 13 = 7 THEN 'Inactive' ELSE 'Active' END AS statuscodename,
+        'S' || cast(p_partkey % 4 AS string) AS tco_shared_component_type,
+        'Comp ' || cast(p_partkey % 4 AS string) AS tco_shared_component_typename,
+        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM part CROSS JOIN {_two_plans}""",
+    "tco_application_assignment": f"""SELECT 'A' || cast(a AS string) AS tco_application,
+        'App ' || cast(a AS string) AS tco_applicationname, 'C' || cast(c AS string) AS tco_cost_center,
+        'G' || cast(g AS string) AS tco_gl_account, 'M' || {z('m', 2)} AS tco_monthname,
+        cast(CASE WHEN a % 20 = 5 THEN 0 WHEN k = 0 THEN 60 ELSE 39.5 END AS decimal(7,2)) AS tco_assignment,
         plan_id AS tco_financial_plan, plan_name AS tco_financial_planname
-        FROM nation CROSS JOIN (VALUES (0), (1)) AS ks(k) CROSS JOIN {_accounts} CROSS JOIN {_months} CROSS JOIN {_two_plans}
-        WHERE (n_nationkey * 3 + g + m) % 5 <> 0 AND NOT (plan_id = 'P1' AND n_nationkey = 9)""",
-    "tco_application_buregion_assign": f"""SELECT 'A' || cast(b AS string) AS tco_application, r_name AS tco_buregionname,
-        cast(CASE WHEN b % 4 = 1 THEN 19.8 ELSE 20 END AS decimal(7,2)) AS tco_assignment,
+        FROM (SELECT c, g, m, k, CASE WHEN k = 0 THEN c WHEN c % 4 < 2 THEN c + 1 - 2 * (c % 2) ELSE c + 6 END AS a
+              FROM {_seen} CROSS JOIN (VALUES (0), (1)) AS ks(k)) AS pairs CROSS JOIN {_two_plans}
+        WHERE (c * 3 + g + m) % 5 <> 0 AND NOT (plan_id = 'P1' AND c % 40 = 9)""",
+    "tco_application_buregion_assign": f"""SELECT 'A' || cast(p_partkey AS string) AS tco_application,
+        r_name AS tco_buregionname, cast(CASE WHEN p_partkey % 4 = 1 THEN 19.8 ELSE 20 END AS decimal(7,2)) AS tco_assignment,
         plan_id AS tco_financial_plan, plan_name AS tco_financial_planname
-        FROM {_brands} CROSS JOIN region CROSS JOIN {_two_plans} WHERE b % 4 <> 2""",
+        FROM part CROSS JOIN region CROSS JOIN {_two_plans} WHERE p_partkey % 4 <> 2""",
     "tco_business_unit_region": "SELECT r_name AS tco_business_unit_region_name FROM region",
-    "tco_shared_component_type": """SELECT 'S' || cast(r_regionkey AS string) AS tco_shared_component_typeid,
-        'Comp ' || cast(r_regionkey AS string) AS tco_description, 'Lead ' || r_name AS tco_ownername FROM region""",
-    "tco_shared_component_assignment": f"""SELECT 'SA' || cast(r_regionkey AS string) || plan_id
-        AS tco_shared_component_assignmentid, 'SA' || cast(r_regionkey AS string) AS tco_name,
-        'S' || cast(r_regionkey AS string) AS tco_shared_component_type,
-        'Comp ' || cast(r_regionkey AS string) AS tco_shared_component_typename,
-        CASE WHEN r_regionkey % 2 = 0 THEN 'app' ELSE 'bu-region' END AS tco_assignment_type,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM region CROSS JOIN {_two_plans}
-        WHERE r_regionkey < 4""",
-    "tco_shared_component_app_assignment": f"""SELECT 'SA' || cast(b % 4 AS string) || plan_id
-        AS tco_shared_component_assignment, 'SA' || cast(b % 4 AS string) AS tco_shared_component_assignmentname,
-        'A' || cast(b AS string) AS tco_application, p_brand AS tco_applicationname,
-        cast(CASE WHEN b % 4 = 0 THEN 100.00 / 5 ELSE 14 END AS decimal(7,2)) AS tco_assignment,
-        {money('1000 + b * 11')} AS tco_dolassigned, plan_id AS tco_financial_plan, plan_name AS tco_financial_planname
-        FROM {_brands} CROSS JOIN {_two_plans} WHERE b % 5 <> 4""",
+    "tco_shared_component_type": """SELECT 'S' || cast(s_suppkey AS string) AS tco_shared_component_typeid,
+        'Comp ' || cast(s_suppkey AS string) AS tco_description, 'Lead ' || s_name AS tco_ownername FROM supplier""",
+    "tco_shared_component_assignment": f"""SELECT 'SA' || cast(s_suppkey AS string) || plan_id
+        AS tco_shared_component_assignmentid, 'SA' || cast(s_suppkey AS string) AS tco_name,
+        'S' || cast(s_suppkey AS string) AS tco_shared_component_type,
+        'Comp ' || cast(s_suppkey AS string) AS tco_shared_component_typename,
+        CASE WHEN s_suppkey % 2 = 0 THEN 'app' ELSE 'bu-region' END AS tco_assignment_type,
+        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM supplier CROSS JOIN {_two_plans}
+        WHERE s_suppkey % 9 <> 8""",
+    "tco_shared_component_app_assignment": f"""SELECT 'SA' || cast(p_partkey % 40 AS string) || plan_id
+        AS tco_shared_component_assignment, 'SA' || cast(p_partkey % 40 AS string) AS tco_shared_component_assignmentname,
+        'A' || cast(p_partkey AS string) AS tco_application, 'App ' || cast(p_partkey AS string) AS tco_applicationname,
+        cast(CASE WHEN p_partkey >= 200 THEN 0 WHEN p_partkey % 40 < 20 THEN 20 ELSE 19 END AS decimal(7,2)) AS tco_assignment,
+        {money('1000 + p_retailprice')} AS tco_dolassigned, plan_id AS tco_financial_plan,
+        plan_name AS tco_financial_planname FROM part CROSS JOIN {_two_plans} WHERE p_partkey % 5 <> 4""",
     "tco_shared_component_buregion_assignment": f"""SELECT 'SA' || cast(s AS string) || plan_id
         AS tco_shared_component_assignment, 'SA' || cast(s AS string) AS tco_shared_component_assignmentname,
         r_name AS tco_buregionname, cast(CASE WHEN s = 1 THEN 20 ELSE 12.5 + r_regionkey END AS decimal(7,2)) AS tco_assignment,
@@ -323,8 +324,10 @@ TABLES: dict[str, str] = {
         FROM region CROSS JOIN (VALUES (1), (3)) AS ss(s) CROSS JOIN {_two_plans} WHERE r_regionkey <> 4 OR s = 1""",
     "tco_assets": f"""SELECT 'AS' || cast(p_partkey AS string) AS tco_asset_item_number, p_name AS tco_description,
         cast(p_partkey % 2 AS int) AS tco_app_releted, CASE WHEN p_partkey % 2 = 1 THEN 'Yes' ELSE 'No' END AS tco_app_reletedname,
-        CASE WHEN p_partkey % 3 = 0 AND p_partkey % 25 <> 4 THEN NULL ELSE 'A' || cast(p_partkey % 20 AS string) END AS tco_application,
-        'C' || cast(p_partkey % 25 AS string) AS tco_cost_center, 'NATION_' || cast(p_partkey % 25 AS string) AS tco_cost_centername,
+        CASE WHEN p_partkey % 30 < 10 THEN 'A1' WHEN p_partkey % 3 = 0 THEN NULL
+            ELSE 'A' || cast(p_partkey % 20 AS string) END AS tco_application,
+        'C' || cast(p_partkey - p_partkey % 10 + 1 AS string) AS tco_cost_center,
+        'Center ' || cast(p_partkey - p_partkey % 10 + 1 AS string) AS tco_cost_centername,
         {money('CASE WHEN p_partkey % 6 = 0 THEN 0.5 ELSE p_retailprice END')} AS tco_net_book_value,
         CASE WHEN p_partkey % 4 = 0 THEN 'P0' ELSE 'P1' END AS tco_financial_plan,
         CASE WHEN p_partkey % 4 = 0 THEN 'Plan 1997' ELSE 'Plan 1998' END AS tco_financial_planname FROM part""",
