@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from checks import capacity_reports as cap
-from checks.adapters import AS_OF, adapted
+from checks import invoice_reports as inv
+from checks import transit_reports as tr
+from checks.adapters import AS_OF, CHECK_AS_OF, LEDGER_AS_OF, adapted
 from checks.registry import register
 from tallyworks import plans
 
@@ -22,3 +24,30 @@ register(
     lambda spark, sf: plans.packaging_availability(adapted(spark, sf)),
     cap.packaging_sql(),
 )
+
+
+def _transit(table: str):
+    return lambda spark, sf: plans.transit_tables(adapted(spark, sf), LEDGER_AS_OF)[table]
+
+
+register(
+    "report_transit_summary",
+    lambda spark, sf: plans.transit_reconciliation(adapted(spark, sf), LEDGER_AS_OF),
+    tr.summary_sql(),
+)
+register("report_transit_sales", _transit("sales_base"), tr.sales_sql())
+register("report_transit_sales_previous_month", _transit("sales_previous_month"), tr.previous_month_sql())
+register("report_transit_cleared", _transit("cleared"), tr.cleared_sql())
+register("report_transit_open_ledger", _transit("open_ledger"), tr.open_ledger_sql())
+register("report_transit_match_diagnostic", _transit("match_diagnostic"), tr.diagnostic_sql())
+register("report_transit_base", _transit("base"), tr.base_sql())
+register(
+    "report_invoice_check",
+    lambda spark, sf: plans.invoice_check(adapted(spark, sf), CHECK_AS_OF),
+    inv.check_sql(),
+)
+register(
+    "report_invoice_snapshot",
+    lambda spark, sf: plans.invoice_snapshot(adapted(spark, sf), AS_OF),
+    inv.snapshot_sql(),
+)

@@ -26,6 +26,7 @@ class Sources:
         self.spark = spark
         self._lookup = lookup
         self.client = client
+        self._seen: dict[str, DataFrame] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, client: str = "300") -> Sources:
@@ -44,8 +45,10 @@ class Sources:
         return cls(spark, lambda name: frames[name], client)
 
     def table(self, name: str) -> DataFrame:
-        df = self._lookup(name)
-        return df.toDF(*[snake(c) for c in df.columns])
+        if name not in self._seen:
+            df = self._lookup(name)
+            self._seen[name] = df.toDF(*[snake(c) for c in df.columns])
+        return self._seen[name]
 
     def client_table(self, name: str) -> DataFrame:
         """Rows of the configured client only; a partition filter where stored so."""
