@@ -909,7 +909,7 @@ def c_net_to_zero(spark, sf):
 
 @query(final(f"WITH {LEDGER}, {_BY_TEXT} SELECT * FROM t", numbers=["amount"]))
 def c_net_tolerance(spark, sf):
-    return reconcile.net_to_zero(ledger(spark, sf), "text", "amount", tol="0.1", verdict="verdict", hot_rows=1000)
+    return reconcile.net_to_zero(ledger(spark, sf), "text", "amount", tol="0.1", verdict="verdict")
 
 
 def _stages(spark, sf):

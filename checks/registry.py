@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyworks.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +30,6 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def register(name: str, query: Query, oracle: str | None) -> None:
-    QUERIES[name] = lambda spark, sf_dir: plain(query(spark, sf_dir))
+    QUERIES[name] = lambda spark, sf_dir: plain(query(tune(spark), sf_dir))
     if oracle is not None:
         ORACLES[name] = oracle

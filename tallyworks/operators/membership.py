@@ -4,58 +4,77 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import as_date
+from tallyworks.operators.skew import distinct_keys
+
+
+def _passes_nulls(col: str, other: DataFrame, key: str) -> Column:
+    """What NULLs do to ``col NOT IN (other.key)``, from one look at the other side's counts.
+
+    An empty list passes every row, a list with a NULL passes none, any other list passes
+    the rows whose ``col`` is known.
+    """
+    rows, known = F.count(F.lit(1)), F.count(key)
+    forced = other.agg(F.when(rows == 0, True).when(rows > known, False).alias("forced")).scalar()
+    return F.coalesce(forced, F.col(col).isNotNull())
 
 
 def not_in(df: DataFrame, col: str, other: DataFrame, key: str) -> DataFrame:
     """Rows whose ``col`` is NOT IN the other side's ``key``, with SQL's NULL rules.
 
     Same answer as the SQL predicate, by an anti join whose strategy follows the size of
-    the sides; the predicate itself always broadcasts its list. What NULLs do is settled
-    by one look at the counts of the other side.
+    the sides; the predicate itself always broadcasts its list.
     """
-    rows, known = F.count(F.lit(1)), F.count(key)
-    state = other.agg(F.when(rows == 0, "empty").when(rows > known, "unknown").otherwise("known").alias("s")).scalar()
-    listed = other.select(F.col(key).alias(col)).filter(F.col(col).isNotNull()).distinct()
-    passes = (state == "empty") | ((state == "known") & F.col(col).isNotNull())
-    return df.filter(passes).join(listed, col, "left_anti")
+    listed = distinct_keys(other, F.col(key).alias(col))
+    return df.filter(_passes_nulls(col, other, key)).join(listed, col, "left_anti")
 
 
 def mark_in(df: DataFrame, col: str, other: DataFrame, key: str, out: str) -> DataFrame:
     """Add a boolean: is ``col`` among the other side's keys. Unknown counts as no."""
-    listed = other.select(F.col(key).alias(col)).filter(F.col(col).isNotNull()).distinct().withColumn(out, F.lit(True))
+    listed = distinct_keys(other, F.col(key).alias(col)).withColumn(out, F.lit(True))
     return df.join(listed, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
+def _marked(df: DataFrame, cols: Sequence[str], other: DataFrame, key: str) -> tuple[DataFrame, list[Column]]:
+    hits = []
+    for i, col in enumerate(cols):
+        df = mark_in(df, col, other, key, f"_hit{i}")
+        hits.append(F.col(f"_hit{i}"))
+    return df, hits
+
+
 def in_any(df: DataFrame, cols: Sequence[str], other: DataFrame, key: str) -> DataFrame:
     """Rows where at least one of ``cols`` is among the other side's keys."""
-    names = list(df.columns)
-    marks = []
-    for i, col in enumerate(cols):
-        marks.append(f"_hit{i}")
-        df = mark_in(df, col, other, key, marks[-1])
-    hit = F.col(marks[0])
-    for m in marks[1:]:
-        hit = hit | F.col(m)
-    return df.filter(hit).select(*names)
+    marked, hits = _marked(df, cols, other, key)
+    return marked.filter(reduce(or_, hits)).select(*df.columns)
 
 
-def split_by_membership(
-    df: DataFrame, cols: Sequence[str], locations: DataFrame, key: str
-) -> tuple[DataFrame, DataFrame]:
-    """Rows (inside, outside) a location list, tested on several columns.
+def mark_sides(
+    df: DataFrame, cols: Sequence[str], locations: DataFrame, key: str, out: str, inside: str, outside: str
+) -> DataFrame:
+    """Label rows as inside or outside a location list, tested on several columns.
 
     Inside: any column is listed. Outside: no column is, where a NULL column is unknown.
-    A row with a NULL and no listed column is therefore in neither part.
+    A row with a NULL and no listed column is neither and gets NULL.
     """
-    outside = df
-    for col in cols:
-        outside = not_in(outside, col, locations, key)
-    return in_any(df, cols, locations, key), outside.select(*df.columns)
+    marked, hits = _marked(df, cols, locations, key)
+    free = [_passes_nulls(col, locations, key) & ~hit for col, hit in zip(cols, hits)]
+    side = F.when(reduce(or_, hits), inside).when(reduce(and_, free), outside)
+    return marked.select(*df.columns, side.alias(out))
+
+
+def split_by_membership(
+    df: DataFrame, cols: Sequence[str], locations: DataFrame, key: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (inside, outside) a location list; see :func:`mark_sides`."""
+    marked = mark_sides(df, cols, locations, key, "_side", "in", "out")
+    return tuple(marked.filter(F.col("_side") == s).drop("_side") for s in ("in", "out"))
 
 
 def in_domain(df: DataFrame, col: str, values: Iterable[str]) -> DataFrame:
@@ -83,7 +102,7 @@ def latest_plan(plans: DataFrame, name: str = "tco_financial_plan_nm") -> Column
 
 def anti(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows without a partner on the paired columns; a NULL key has no partner."""
-    listed = other.select(*[F.col(r).alias(l) for l, r in on.items()])
+    listed = distinct_keys(other, *[F.col(r).alias(l) for l, r in on.items()])
     return df.join(listed, list(on), "left_anti")
 
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import div0, within_tolerance
 from tallyworks.operators.membership import not_in
-from tallyworks.operators.skew import HOT_ROWS, attach_by_key
+from tallyworks.operators.skew import group_apart
 
 
 def key_verdicts(
     df: DataFrame, key: str, amount: str, tol: str | None = None, verdict: str = "balance_result"
 ) -> DataFrame:
-    """Per key: the balance, ZERO or BALANCE, and how many rows the key has."""
-    sums = df.groupBy(key).agg(F.sum(amount).alias("balance_amount"), F.count(F.lit(1)).alias("key_rows"))
+    """Per key: the balance, and ZERO or BALANCE."""
+    sums = group_apart(df, [key], {"balance_amount": F.sum(amount)})
     settled = F.col("balance_amount") == 0 if tol is None else within_tolerance(F.col("balance_amount"), tol)
     return sums.withColumn(verdict, F.when(settled, "ZERO").otherwise("BALANCE"))
 
@@ -29,15 +29,14 @@ def net_to_zero(
     tol: str | None = None,
     rows: DataFrame | None = None,
     verdict: str = "balance_result",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows with the verdict of their key.
 
     The verdict is taken over ``df`` and attached to ``rows`` (default: ``df`` itself).
     Rows without a key are dropped.
     """
-    verdicts = key_verdicts(df, key, amount, tol, verdict).select(key, verdict, "key_rows")
-    return attach_by_key(df if rows is None else rows, verdicts, [key], hot_rows=hot_rows)
+    verdicts = key_verdicts(df, key, amount, tol, verdict).select(key, verdict)
+    return (df if rows is None else rows).join(verdicts, key)
 
 
 def stack_stages(stages: Sequence[tuple[DataFrame, str]], rule: str = "balance_type") -> DataFrame:

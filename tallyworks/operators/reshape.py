@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.operators.skew import HOT_ROWS, attach_by_key
+from tallyworks.operators.skew import distinct_keys, group_apart
 
 
 def category_columns(
@@ -36,7 +36,7 @@ def stack_by_alt_key(
 
     A row whose columns both name one appears once per column.
     """
-    listed = locations.select(F.col(key).alias(out)).filter(F.col(out).isNotNull()).distinct()
+    listed = distinct_keys(locations, F.col(key).alias(out))
     return df.withColumn(out, F.explode(F.array(*cols))).join(listed, out, "left_semi")
 
 
@@ -74,11 +74,7 @@ def conditions_wide(
     return plain.unionByName(combined.select(*keys, *columns))
 
 
-def with_header_totals(
-    lines: DataFrame, keys: Sequence[str], totals: Mapping[str, Column], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Lines with the sums of their header attached."""
-    per_header = lines.groupBy(*keys).agg(
-        *[F.sum(expr).alias(name) for name, expr in totals.items()], F.count(F.lit(1)).alias("key_rows")
-    )
-    return attach_by_key(lines, per_header, keys, hot_rows=hot_rows)
+def with_header_totals(lines: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
+    """Lines with the sums of their header attached; lines without a key are dropped."""
+    per_header = group_apart(lines, keys, {name: F.sum(expr) for name, expr in totals.items()})
+    return lines.join(per_header, list(keys))

@@ -1,37 +1,27 @@
-"""Joins that stay balanced when one key holds a large part of the rows."""
+"""Grouping and key lists that keep later joins on the same key splittable."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key with at least this many rows is handled apart from the shuffle.
-HOT_ROWS = 5_000_000
-
-
-def attach_by_key(
-    facts: DataFrame,
-    per_key: DataFrame,
-    keys: Sequence[str],
-    rows: str = "key_rows",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Inner join of facts with an aggregate of them that has one row per key.
-
-    The aggregate is already hash-partitioned by the join key, a shape in which the
-    adaptive skew split does not apply, so a hot key would land in one task. The
-    aggregate knows each key's row count in ``rows``: keys at or above ``hot_rows`` are
-    attached by a broadcast join, the rest by a normal join. At most
-    ``rows of facts / hot_rows`` keys are hot, which bounds what is broadcast. With no
-    hot key the first branch is empty and is dropped at run time.
+
+def group_apart(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """Named aggregates per key, as a result that may be joined back to skewed facts.
+
+    A plain aggregate is left hash-partitioned by its keys, and a join on those keys then
+    takes it without an exchange. The adaptive skew split needs an exchange on both sides,
+    so a hot key's facts would all go to one task. Grouping by the keys as one struct
+    hides that partitioning: the small per-key result is exchanged once more and hot
+    partitions of the facts are split at run time.
     """
-    keys = list(keys)
-    known = per_key
-    for k in keys:
-        known = known.filter(F.col(k).isNotNull())
-    hot = F.broadcast(known.filter(F.col(rows) >= hot_rows).drop(rows))
-    cold = known.filter(F.col(rows) < hot_rows).drop(rows)
-    cold_facts = facts.join(hot.select(*keys).hint("broadcast"), keys, "left_anti")
-    return facts.join(hot, keys).unionByName(cold_facts.join(cold, keys))
+    grouped = df.groupBy(F.struct(*keys).alias("_key")).agg(*[expr.alias(name) for name, expr in aggs.items()])
+    return grouped.select("_key.*", *aggs)
+
+
+def distinct_keys(df: DataFrame, *cols: Column) -> DataFrame:
+    """Distinct non-NULL key rows for semi, anti and flag joins, likewise splittable."""
+    keys = df.select(F.struct(*cols).alias("_key")).distinct().select("_key.*")
+    return keys.na.drop("any")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import digits_between, div0, pad_key, parse_yyyymmdd, quantity, remap
-from tallyworks.operators.membership import impute_mean, latest, split_by_membership
+from tallyworks.operators.membership import impute_mean, latest, mark_sides
 from tallyworks.operators.reshape import category_columns, stack_by_alt_key
 from tallyworks.operators.spine import densify, running_balance, spread_over
 from tallyworks.sources import Sources, inline
@@ -54,7 +54,9 @@ def _stock(src: Sources, pallets: DataFrame) -> DataFrame:
     ).agg(F.sum(quantity(div0(F.col("stock_at_plant"), F.col("bstrf")))).alias("pallets"))
 
 
-def due_lines(src: Sources, pallets: DataFrame, as_of: dt.date, days: int, order_type: Column) -> DataFrame:
+def due_lines(
+    src: Sources, pallets: DataFrame, as_of: dt.date, days: int, order_type: Column | None = None
+) -> DataFrame:
     """Open order lines due within the horizon, in pallets."""
     schedule = (
         src.client_table("vbep")
@@ -62,7 +64,9 @@ def due_lines(src: Sources, pallets: DataFrame, as_of: dt.date, days: int, order
         .select("vbeln", "posnr", parse_yyyymmdd(F.col("tddat")).alias("date"), "wmeng")
     )
     lines = src.client_table("vbap").filter(F.col("abgru") == " ").select("vbeln", "posnr", "matnr", "werks")
-    headers = src.table("vbak").filter(order_type).select("vbeln", "kunnr")
+    headers = src.table("vbak").select("vbeln", "kunnr", "auart")
+    if order_type is not None:
+        headers = headers.filter(order_type)
     materials = (
         src.client_table("mara")
         .filter(F.col("matkl").startswith("8") | F.col("matkl").startswith("9"))
@@ -77,6 +81,7 @@ def due_lines(src: Sources, pallets: DataFrame, as_of: dt.date, days: int, order
             "date",
             F.col("werks").alias("plant"),
             F.col("kunnr").alias("customer"),
+            F.col("auart").alias("order_type"),
             "types",
             quantity(div0(F.col("wmeng") * 1000, F.col("pnum"))).alias("pallets"),
         )
@@ -137,20 +142,27 @@ def plant_capacity(
         own = own.filter(F.col("plant").isin(*plants))
     grid = spread_over(own.filter(F.col("plant").isNotNull()), as_of, days)
 
-    inside, outside = split_by_membership(_stock(src, pallets), ["storage_location", "customer"], locations, "location_code")
+    # Each kind of fact is read once: its side and its type together name the column.
     keys = ["date", "plant"]
     value = F.col("pallets")
+    stock = mark_sides(
+        _stock(src, pallets), ["storage_location", "customer"], locations, "location_code", "side", "ag", "plant"
+    )
+    sales = due_lines(src, pallets, as_of, days).withColumn(
+        "side", F.when(F.col("order_type") == "ZBA3", "ag").when(F.col("order_type") != "ZBA3", "plant")
+    )
+    side_type = F.concat(F.col("side"), F.lit("_"), F.lower("types"))
     parts = [
-        category_columns(outside, keys, "types", _named("stock_plant"), value),
-        category_columns(inside, keys, "types", _named("stock_ag"), value),
         category_columns(
-            due_lines(src, pallets, as_of, days, F.col("auart") != "ZBA3"), keys, "types", _named("sales_plant"), value
-        ),
-        category_columns(
-            due_lines(src, pallets, as_of, days, F.col("auart") == "ZBA3"), keys, "types", _named("sales_ag"), value
-        ),
-        _production(src, pallets, grid.select("date", "plant"), as_of, days),
+            facts.withColumn("side_type", side_type),
+            keys,
+            "side_type",
+            {f"{name}_{side}_{t}": f"{side}_{t}" for side in ("plant", "ag") for t in TYPES},
+            value,
+        )
+        for facts, name in ((stock, "stock"), (sales, "sales"))
     ]
+    parts.append(_production(src, pallets, grid.select("date", "plant"), as_of, days))
     external = (
         locations.join(src.client_table("t001k").select(F.col("bwkey").alias("plant")), "plant")
         .groupBy("plant")

@@ -30,7 +30,7 @@ from tallyworks.operators.reconcile import (
     tolerant_match,
     uncleared_keys,
 )
-from tallyworks.operators.skew import HOT_ROWS
+from tallyworks.operators.skew import distinct_keys
 from tallyworks.session import stage
 from tallyworks.sources import Sources
 from tallyworks.sources import constants as const
@@ -211,13 +211,13 @@ SALES_COLUMNS = (
 STAGE_COLUMNS = tuple(c for c in LEDGER_COLUMNS if c != "line_item")
 
 
-def clearing_stages(entries: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[DataFrame, str]]:
+def clearing_stages(entries: DataFrame) -> list[tuple[DataFrame, str]]:
     """Verdicts of the four clearing rules, each on the rows it applies to."""
     entries = entries.select(*STAGE_COLUMNS)
     kind = F.col("document_type")
     amount = "amount_local"
     by_reference = net_to_zero(
-        entries, "reference", amount, rows=entries.filter(~kind.isin(*const.NOTE_TYPES)), hot_rows=hot_rows
+        entries, "reference", amount, rows=entries.filter(~kind.isin(*const.NOTE_TYPES))
     )
     unsettled = by_reference.filter(F.col("balance_result") == "BALANCE")
     by_text = net_to_zero(
@@ -226,12 +226,11 @@ def clearing_stages(entries: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[
         amount,
         tol="0.1",
         rows=by_reference.drop("balance_result"),
-        hot_rows=hot_rows,
     )
 
     def notes(types: tuple[str, ...], prefixes: tuple[str, ...]) -> DataFrame:
         rows = entries.filter(kind.isin(*types)).withColumn("_note", strip_prefix(F.col("reference"), prefixes))
-        return net_to_zero(rows, "_note", amount, hot_rows=hot_rows)
+        return net_to_zero(rows, "_note", amount)
 
     columns = [*STAGE_COLUMNS, "balance_result"]
     return [
@@ -242,16 +241,16 @@ def clearing_stages(entries: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[
     ]
 
 
-def open_ledger_lines(entries: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def open_ledger_lines(entries: DataFrame) -> DataFrame:
     """Ledger lines of the documents with open rows that no rule has cleared.
 
     Company, document and month are never NULL in the ledger, so the cleared test is one
     aggregation over the stacked verdicts.
     """
-    stacked = stack_stages(clearing_stages(entries, hot_rows))
+    stacked = stack_stages(clearing_stages(entries))
     documents = uncleared_keys(stacked, ["comp_code", "document_number", "year_month"])
     return entries.select(*LEDGER_COLUMNS).join(
-        documents.select("document_number").distinct(), "document_number", "left_semi"
+        distinct_keys(documents, F.col("document_number")), "document_number", "left_semi"
     )
 
 
@@ -307,7 +306,7 @@ def matched_sales(totals: DataFrame, open_ledger: DataFrame) -> DataFrame:
 
 
 def transit_tables(
-    src: Sources, as_of: dt.date, reuse: bool = True, hot_rows: int = HOT_ROWS
+    src: Sources, as_of: dt.date, reuse: bool = True
 ) -> dict[str, DataFrame]:
     """All tables of the reconciliation report.
 
@@ -317,8 +316,8 @@ def transit_tables(
     keep = stage if reuse else (lambda df, _: df)
     entries = keep(ledger(src, as_of), "ledger")
     sold = keep(sales(src, as_of), "sales")
-    open_ledger = keep(open_ledger_lines(entries, hot_rows), "open-ledger")
-    cleared, _ = staged_clearing(clearing_stages(entries, hot_rows))
+    open_ledger = keep(open_ledger_lines(entries), "open-ledger")
+    cleared, _ = staged_clearing(clearing_stages(entries))
     totals = sales_totals(sold)
     matched = matched_sales(totals, open_ledger)
     return {
@@ -388,12 +387,12 @@ def _by_class(rows: DataFrame) -> DataFrame:
     return summarise_by_class(rows, "product", sums, "sum_quantity", "total_net_revenue")
 
 
-def transit_reconciliation(src: Sources, as_of: dt.date, reuse: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transit_reconciliation(src: Sources, as_of: dt.date, reuse: bool = True) -> DataFrame:
     """The closing table of the report: totals per product class.
 
     Only the ledger and its open lines feed several branches here and are staged.
     """
     keep = stage if reuse else (lambda df, _: df)
     entries = keep(ledger(src, as_of), "ledger")
-    open_ledger = keep(open_ledger_lines(entries, hot_rows), "open-ledger")
+    open_ledger = keep(open_ledger_lines(entries), "open-ledger")
     return class_summary(open_ledger, matched_sales(sales_totals(sales(src, as_of)), open_ledger))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -31,6 +32,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the run-time settings to an existing session, such as a cluster's."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a scratch folder only where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
