@@ -64,7 +64,21 @@ def plant(sk: str) -> str:
 _later = "cast(cast(o_orderdate AS date) + INTERVAL '240' MONTH AS date)"
 _kinds = (("BX10", "1.00", "1000"), ("BX13", "0.18", "180"), ("BX23", "0.05", "50"), ("BX72", "0.07", "76"))
 _kinds += (("BX82", "0.01", "16"), ("IPVA", "0.04", "45"))
-_two_plans = "(VALUES ('P0', 'Plan 1997'), ('P1', 'Plan 1998')) AS pl(plan_id, plan_name)"
+
+
+def times(source: str, alias: str, items: list[object]) -> str:
+    """Every row of ``source`` once per item, by an array rather than a join."""
+    listed = ", ".join(f"'{i}'" if isinstance(i, str) else str(i) for i in items)
+    return f"(SELECT *, explode(array({listed})) AS {alias} FROM {source}) AS by_{alias}"
+
+
+def plans(source: str) -> str:
+    return times(source, "plan_id", ["P0", "P1"])
+
+
+PLAN_NAME = "CASE plan_id WHEN 'P0' THEN 'Plan 1997' ELSE 'Plan 1998' END"
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
 _seen = """(SELECT DISTINCT o_custkey AS c, o_orderkey % 4 AS g, month(cast(o_orderdate AS date)) AS m FROM orders) AS seen"""
 
 
@@ -83,9 +97,9 @@ TABLES: dict[str, str] = {
     # Logistics
     "mara": f"""SELECT {matnr('p_partkey')} AS matnr, {matkl('p_partkey')} AS matkl,
         {mtart('p_partkey')} AS mtart, '300' AS mandt FROM part""",
-    "marc": f"""SELECT {matnr('p_partkey')} AS matnr, v.werks AS werks,
+    "marc": f"""SELECT {matnr('p_partkey')} AS matnr, werks,
         cast(CASE WHEN p_partkey % 50 = 0 THEN 0 ELSE 10 * (1 + p_partkey % 7) END AS decimal(13,3)) AS bstrf,
-        '300' AS mandt FROM part CROSS JOIN (VALUES ('BRPA'), ('BRPE'), ('BR3R'), ('BRSP')) AS v(werks)""",
+        '300' AS mandt FROM {times('part', 'werks', PLANTS)}""",
     "makt": f"""SELECT {matnr('p_partkey')} AS matnr, CASE WHEN p_partkey % 40 = 39 THEN 'E' ELSE 'P' END AS spras,
         p_name AS maktx, '300' AS mandt FROM part""",
     "warehousing_capacity": f"""SELECT {pick('r_regionkey', ['BRPD', 'BRRE', 'RISC', 'BRSP', 'BRRC'])} AS location_code,
@@ -136,18 +150,18 @@ TABLES: dict[str, str] = {
              WHEN o_orderkey % 7 IN (0, 2) THEN 'NC ' || {z('o_orderkey', 9)}
              ELSE {z('o_orderkey', 9)} END AS xblnr, '300' AS mandt FROM orders""",
     "bseg": f"""SELECT '100' || cast(o_orderkey % 9 AS string) AS bukrs, {z('o_orderkey', 10)} AS belnr,
-        cast(year({_later}) AS string) AS gjahr, {z('v.n', 3)} AS buzei, {plant('o_custkey')} AS werks,
+        cast(year({_later}) AS string) AS gjahr, {z('n', 3)} AS buzei, {plant('o_custkey')} AS werks,
         {z('o_custkey', 10)} AS kunnr, 'V1' AS lifnr, '12100' || cast(1 + o_orderkey % 8 AS string) AS vbund,
         'Z' || cast(o_orderkey % 10 AS string) AS zuonr,
         CASE o_orderkey % 5 WHEN 0 THEN '0112410101' WHEN 4 THEN '0999999999' ELSE '0212200101' END AS hkont,
-        'B1' AS bupla, 'K1' AS kostl, CASE WHEN v.n = 1 THEN 'S' ELSE 'H' END AS shkzg,
-        {money("o_totalprice")} + CASE WHEN o_orderkey % 3 = 2 AND v.n = 2 THEN cast('0.05' AS decimal(3,2))
+        'B1' AS bupla, 'K1' AS kostl, CASE WHEN n = 1 THEN 'S' ELSE 'H' END AS shkzg,
+        {money("o_totalprice")} + CASE WHEN o_orderkey % 3 = 2 AND n = 2 THEN cast('0.05' AS decimal(3,2))
             ELSE cast('0.00' AS decimal(3,2)) END AS dmbtr,
         {money("o_totalprice")} AS dmbe3,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'T' || cast(o_orderkey AS string) END AS sgtxt,
         CASE WHEN o_orderkey % 4 <> 0 OR o_orderkey % 16 = 0 THEN '' ELSE 'CLR' END AS augbl,
         CASE WHEN o_orderkey % 4 <> 0 THEN '00000000' WHEN o_orderkey % 8 = 0 THEN '20210705' ELSE '20200105' END AS augdt,
-        '300' AS mandt FROM orders CROSS JOIN (VALUES (1), (2)) AS v(n) WHERE o_orderkey % 3 <> 1 OR v.n = 1""",
+        '300' AS mandt FROM {times('orders', 'n', [1, 2])} WHERE o_orderkey % 3 <> 1 OR n = 1""",
     "vbrk": f"""SELECT {z('o_orderkey', 10)} AS vbeln, '100' || cast(o_orderkey % 9 AS string) AS bukrs,
         {d8(_later + " + cast(CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS int)")} AS fkdat,
         ' ' AS fksto, {z('o_custkey', 10)} AS kunag, 'V1' AS vkorg, '01' AS vtweg, '01' AS spart,
@@ -254,7 +268,7 @@ TABLES: dict[str, str] = {
     "sa_bsp_tax_law_icms": """SELECT 'L' || cast(r_regionkey AS string) AS icms_law,
         '0' || cast(r_regionkey AS string) AS tax_situation, r_name AS description FROM region WHERE r_regionkey < 2""",
     # Costs
-    "tco_financial_plan": f"SELECT plan_name AS tco_financial_plan_nm FROM {_two_plans}",
+    "tco_financial_plan": "SELECT nm AS tco_financial_plan_nm FROM (VALUES ('Plan 1997'), ('Plan 1998')) AS pl(nm)",
     "tco_cost": f"""SELECT 'K' || cast(o_orderkey AS string) AS tco_costid, o_orderkey AS tco_cost_id,
         CASE WHEN o_orderkey % 5 = 0 THEN 'P0' ELSE 'P1' END AS tco_cost_financial_plan,
         CASE WHEN o_orderkey % 5 = 0 THEN 'Plan 1997' ELSE 'Plan 1998' END AS tco_cost_financial_planname,
@@ -267,20 +281,20 @@ TABLES: dict[str, str] = {
         CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE 'F' || cast((c_custkey - c_custkey % 2) % 3 AS string) END AS tco_function,
         'O' || {owner('c_custkey')} AS tco_capabilityowner, 'Owner ' || {owner('c_custkey')} AS tco_capabilityownername,
         'Y' || {owner('c_custkey')} AS tco_capabilityowneryominame, {money('c_acctbal')} AS tco_totalassigned,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM customer CROSS JOIN {_two_plans}
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname FROM {plans('customer')}
         WHERE plan_id = 'P1' OR c_custkey % 5 <> 0""",
     "tco_gl_account": f"""SELECT 'G' || cast(r_regionkey AS string) AS tco_gl_accountid,
         'GL' || cast(r_regionkey AS string) AS tco_gl_account_id, 'AG' || cast(r_regionkey % 2 AS string)
         AS tco_gl_account_account_group, 'Group ' || cast(r_regionkey % 2 AS string) AS tco_gl_account_account_groupname,
         CASE WHEN r_regionkey = 3 THEN '0' ELSE '1' END AS tco_todisplay,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM region CROSS JOIN {_two_plans}
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname FROM {plans('region')}
         WHERE r_regionkey < 4""",
     "tco_cost_center_allocation": f"""SELECT 'C' || cast(c AS string) AS tco_cost_center_allocation_cost_center,
         'G' || cast(g AS string) AS tco_cost_center_allocation_gl_account,
-        plan_id AS tco_cost_center_allocation_financial_plan, plan_name AS tco_cost_center_allocation_financial_planname,
+        plan_id AS tco_cost_center_allocation_financial_plan, {PLAN_NAME} AS tco_cost_center_allocation_financial_planname,
         'M' || {z('m', 2)} AS tco_monthname,
         cast(CASE c % 3 WHEN 0 THEN 100 WHEN 1 THEN 60 ELSE 33.25 END AS decimal(7,2)) AS tco_assignment
-        FROM {_seen} CROSS JOIN {_two_plans} WHERE (c + g + m) % 7 <> 0 AND c % 11 <> 3""",
+        FROM {plans(_seen)} WHERE (c + g + m) % 7 <> 0 AND c % 11 <> 3""",
     "tco_application": f"""SELECT 'A' || cast(p_partkey AS string) AS tco_applicationid,
         'APP' || cast(p_partkey AS string) AS tco_application_id, 'App ' || cast(p_partkey AS string) AS tco_application_name,
         'O' || {owner('p_partkey')} AS tco_capabilityowner, 'Owner ' || {owner('p_partkey')} AS tco_capabilityownername,
@@ -288,19 +302,19 @@ TABLES: dict[str, str] = {
         CASE WHEN p_partkey % 13 = 7 THEN 'Inactive' ELSE 'Active' END AS statuscodename,
         'S' || cast(p_partkey % 4 AS string) AS tco_shared_component_type,
         'Comp ' || cast(p_partkey % 4 AS string) AS tco_shared_component_typename,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM part CROSS JOIN {_two_plans}""",
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname FROM {plans('part')}""",
     "tco_application_assignment": f"""SELECT 'A' || cast(a AS string) AS tco_application,
         'App ' || cast(a AS string) AS tco_applicationname, 'C' || cast(c AS string) AS tco_cost_center,
         'G' || cast(g AS string) AS tco_gl_account, 'M' || {z('m', 2)} AS tco_monthname,
         cast(CASE WHEN a % 20 = 5 THEN 0 WHEN k = 0 THEN 60 ELSE 39.5 END AS decimal(7,2)) AS tco_assignment,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname
-        FROM (SELECT c, g, m, k, CASE WHEN k = 0 THEN c WHEN c % 4 < 2 THEN c + 1 - 2 * (c % 2) ELSE c + 6 END AS a
-              FROM {_seen} CROSS JOIN (VALUES (0), (1)) AS ks(k)) AS pairs CROSS JOIN {_two_plans}
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname
+        FROM (SELECT *, CASE WHEN k = 0 THEN c WHEN c % 4 < 2 THEN c + 1 - 2 * (c % 2) ELSE c + 6 END AS a
+              FROM {times(plans(_seen), 'k', [0, 1])}) AS pairs
         WHERE (c * 3 + g + m) % 5 <> 0 AND NOT (plan_id = 'P1' AND c % 40 = 9)""",
     "tco_application_buregion_assign": f"""SELECT 'A' || cast(p_partkey AS string) AS tco_application,
         r_name AS tco_buregionname, cast(CASE WHEN p_partkey % 4 = 1 THEN 19.8 ELSE 20 END AS decimal(7,2)) AS tco_assignment,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname
-        FROM part CROSS JOIN region CROSS JOIN {_two_plans} WHERE p_partkey % 4 <> 2""",
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname
+        FROM {times(plans('part'), 'r_name', REGIONS)} WHERE p_partkey % 4 <> 2""",
     "tco_business_unit_region": "SELECT r_name AS tco_business_unit_region_name FROM region",
     "tco_shared_component_type": """SELECT 'S' || cast(s_suppkey AS string) AS tco_shared_component_typeid,
         'Comp ' || cast(s_suppkey AS string) AS tco_description, 'Lead ' || s_name AS tco_ownername FROM supplier""",
@@ -309,19 +323,19 @@ TABLES: dict[str, str] = {
         'S' || cast(s_suppkey AS string) AS tco_shared_component_type,
         'Comp ' || cast(s_suppkey AS string) AS tco_shared_component_typename,
         CASE WHEN s_suppkey % 2 = 0 THEN 'app' ELSE 'bu-region' END AS tco_assignment_type,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname FROM supplier CROSS JOIN {_two_plans}
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname FROM {plans('supplier')}
         WHERE s_suppkey % 9 <> 8""",
     "tco_shared_component_app_assignment": f"""SELECT 'SA' || cast(p_partkey % 40 AS string) || plan_id
         AS tco_shared_component_assignment, 'SA' || cast(p_partkey % 40 AS string) AS tco_shared_component_assignmentname,
         'A' || cast(p_partkey AS string) AS tco_application, 'App ' || cast(p_partkey AS string) AS tco_applicationname,
         cast(CASE WHEN p_partkey >= 200 THEN 0 WHEN p_partkey % 40 < 20 THEN 20 ELSE 19 END AS decimal(7,2)) AS tco_assignment,
         {money('1000 + p_retailprice')} AS tco_dolassigned, plan_id AS tco_financial_plan,
-        plan_name AS tco_financial_planname FROM part CROSS JOIN {_two_plans} WHERE p_partkey % 5 <> 4""",
+        {PLAN_NAME} AS tco_financial_planname FROM {plans('part')} WHERE p_partkey % 5 <> 4""",
     "tco_shared_component_buregion_assignment": f"""SELECT 'SA' || cast(s AS string) || plan_id
         AS tco_shared_component_assignment, 'SA' || cast(s AS string) AS tco_shared_component_assignmentname,
         r_name AS tco_buregionname, cast(CASE WHEN s = 1 THEN 20 ELSE 12.5 + r_regionkey END AS decimal(7,2)) AS tco_assignment,
-        plan_id AS tco_financial_plan, plan_name AS tco_financial_planname
-        FROM region CROSS JOIN (VALUES (1), (3)) AS ss(s) CROSS JOIN {_two_plans} WHERE r_regionkey <> 4 OR s = 1""",
+        plan_id AS tco_financial_plan, {PLAN_NAME} AS tco_financial_planname
+        FROM {times(plans('region'), 's', [1, 3])} WHERE r_regionkey <> 4 OR s = 1""",
     "tco_assets": f"""SELECT 'AS' || cast(p_partkey AS string) AS tco_asset_item_number, p_name AS tco_description,
         cast(p_partkey % 2 AS int) AS tco_app_releted, CASE WHEN p_partkey % 2 = 1 THEN 'Yes' ELSE 'No' END AS tco_app_reletedname,
         CASE WHEN p_partkey % 30 < 10 THEN 'A1' WHEN p_partkey % 3 = 0 THEN NULL
@@ -344,7 +358,11 @@ def _needed(sql: str, found: dict[str, None]) -> None:
 
 
 def with_inputs(sql: str) -> str:
-    """Prefix a query (which may start with WITH) by the input tables it reads."""
+    """A query (which may start with WITH) behind the input tables it reads, for DuckDB."""
+    return _with_inputs(sql).replace("explode(array(", "unnest(list_value(")
+
+
+def _with_inputs(sql: str) -> str:
     found: dict[str, None] = {}
     _needed(sql, found)
     ctes = ", ".join(f"{name} AS ({TABLES[name]})" for name in found)
@@ -356,7 +374,7 @@ def with_inputs(sql: str) -> str:
 
 def on_spark(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run shared-subset SQL on Spark over the parquet files of ``sf_dir``."""
-    text = with_inputs(sql)
+    text = _with_inputs(sql)
     used = [t for t in BASE_TABLES if _WORDS[t].search(text)]
     if not used:
         return spark.sql(text)
