@@ -90,9 +90,7 @@ def with_allocation(src: Sources, df: DataFrame, by_id: bool) -> DataFrame:
     return df.join(shares, ["tco_cost_cost_center", "tco_cost_gl_account", "_month", *keys], "left")
 
 
-def with_applications(
-    src: Sources, df: DataFrame, by_id: bool, active: bool = True, application_plan: Column | None = None
-) -> DataFrame:
+def with_applications(src: Sources, df: DataFrame, by_id: bool) -> DataFrame:
     """Application percentages and the applications; costs of inactive ones are dropped."""
     shares = src.table("tco_application_assignment").select(
         F.col("tco_cost_center").alias("tco_cost_cost_center"),
@@ -103,12 +101,7 @@ def with_applications(
         PLAN,
         PLAN_NAME,
     )
-    apps = src.table("tco_application")
-    if active:
-        apps = apps.filter(F.col("statuscodename") == "Active")
-    if application_plan is not None:
-        apps = apps.filter(F.col(PLAN_NAME) == application_plan)
-    apps = apps.select(
+    apps = src.table("tco_application").filter(F.col("statuscodename") == "Active").select(
         "tco_applicationid",
         "tco_application_id",
         "tco_application_name",

@@ -9,25 +9,34 @@ from tallyworks.functions import text_key
 from tallyworks.operators.allocate import factor_of, pair_with, subtotal, weigh
 from tallyworks.plans import cost_base as base
 from tallyworks.plans.cost_base import PLAN, PLAN_NAME
+from tallyworks.session import stage
 from tallyworks.sources import Sources
 
 REGION = "tco_buregionname"
 COMPONENT = "tco_shared_component_typename"
 
 
-def _application_totals(src: Sources, *, accounts: str, centers: bool, latest_costs: bool = False) -> DataFrame:
-    """Charged costs per application of the latest plan, before any region or component."""
-    df = base.with_accounts(src, base.costs(src, latest_only=latest_costs), by_id=True, how=accounts)
+def application_totals(src: Sources, centers: bool = True, reuse: bool = True) -> DataFrame:
+    """Charged costs per application, before any region or component.
+
+    The one pass over the cost lines that the overview reports need. Plans and the display
+    mark stay among the keys, so that each report cuts its own part; with ``reuse`` the
+    result, small next to the costs, is written once and read by every branch.
+    """
+    df = base.with_accounts(src, base.costs(src, latest_only=False), by_id=True, how="left")
     if centers:
         df = base.with_centers(src, df, by_id=True)
-    df = base.with_applications(
-        src, base.with_allocation(src, df, by_id=True), by_id=True, application_plan=base.newest(src)
-    )
-    keys = ["tco_applicationid", "tco_application_name", "tco_cost_financial_plan", "app_plan_name", "app_owner"]
-    keys += ["tco_shared_component_type", COMPONENT]
-    keys += ["tco_function"] if centers else []
-    totals = subtotal(df, keys, base.application_share(), "app_total")
-    return totals.withColumnRenamed("tco_cost_financial_plan", PLAN).withColumnRenamed("app_plan_name", PLAN_NAME)
+    df = base.with_applications(src, base.with_allocation(src, df, by_id=True), by_id=True)
+    keys = ["tco_cost_financial_plan", "tco_cost_financial_planname", "displayed", "tco_applicationid"]
+    keys += ["tco_application_name", "app_plan_name", "app_owner", COMPONENT]
+    keys += ["center_owner", "tco_function"] if centers else []
+    df = df.withColumn("displayed", F.col("tco_gl_account_id").isNotNull())
+    totals = subtotal(df, keys, base.application_share(), "app_total").withColumnRenamed("tco_cost_financial_plan", PLAN)
+    return stage(totals, "application-totals") if reuse else totals
+
+
+def _of_latest_applications(src: Sources, totals: DataFrame) -> DataFrame:
+    return totals.filter(F.col("app_plan_name") == base.newest(src)).withColumnRenamed("app_plan_name", PLAN_NAME)
 
 
 def _regions(src: Sources) -> DataFrame:
@@ -58,11 +67,11 @@ def _key(component: str = COMPONENT, kind: str = "shared"):
     return text_key(F.col(PLAN_NAME), F.lit(kind), F.col(component), F.col(REGION)).alias("pk")
 
 
-def regional_cost(src: Sources) -> DataFrame:
+def regional_cost(src: Sources, reuse: bool = True, totals: DataFrame | None = None) -> DataFrame:
     """Costs by application and region: shared-component rows and direct rows."""
-    totals = _application_totals(src, accounts="left", centers=True)
+    totals = application_totals(src, reuse=reuse) if totals is None else totals
     shared = (
-        _with_regions(src, totals)
+        _with_regions(src, _of_latest_applications(src, totals))
         .join(_component_names(src), "tco_name", "left")
         .groupBy(
             PLAN,
@@ -91,19 +100,9 @@ def regional_cost(src: Sources) -> DataFrame:
             weigh(F.col("sum_app_assignment"), F.col("region_pct"), 2).alias(_AMOUNT),
         )
     )
-    df = base.with_accounts(src, base.costs(src), by_id=True, how="left")
-    df = base.with_centers(src, df, by_id=True)
-    df = base.with_applications(src, base.with_allocation(src, df, by_id=True), by_id=True)
-    plan_keys = ["tco_cost_financial_plan", "tco_cost_financial_planname"]
-    charged = subtotal(
-        df,
-        [*plan_keys, "center_owner", "tco_function", "tco_applicationid", "tco_application_name"],
-        base.application_share(),
-        "app_total",
-    )
     direct = (
-        charged.withColumnRenamed(plan_keys[0], PLAN)
-        .withColumnRenamed(plan_keys[1], PLAN_NAME)
+        totals.filter(F.col("tco_cost_financial_planname") == base.newest(src))
+        .withColumnRenamed("tco_cost_financial_planname", PLAN_NAME)
         .join(_regions(src), ["tco_applicationid", PLAN], "left")
         .groupBy(PLAN, PLAN_NAME, "center_owner", "tco_application_name", "tco_function", REGION, "region_pct")
         .agg(F.sum("app_total").alias("sum_app_assignment"))
@@ -129,18 +128,22 @@ def regional_cost(src: Sources) -> DataFrame:
 _AMOUNT = "tco_total_shared_component_app_buregion_assignment_amt"
 
 
-def shared_cost(src: Sources) -> DataFrame:
+def shared_cost(src: Sources, reuse: bool = True, totals: DataFrame | None = None) -> DataFrame:
     """Shared-component costs by owner and region.
 
     Applications count for the component they are typed as, and for every component they
-    are assigned to; the two lists repeat an application as often as they name it.
+    are assigned to; the two lists repeat an application as often as they name it. Only
+    the first list is cut to the costs of the latest plan. ``totals`` must not carry
+    cost centres.
     """
+    totals = application_totals(src, centers=False, reuse=reuse) if totals is None else totals
+    shown = _of_latest_applications(src, totals.filter("displayed"))
     assignments = src.table("tco_shared_component_assignment")
-    typed = _application_totals(src, accounts="inner", centers=False, latest_costs=True).join(
+    typed = shown.filter(F.col("tco_cost_financial_planname") == base.newest(src)).join(
         assignments.filter(F.col("tco_assignment_type") == "bu-region").select(COMPONENT), COMPONENT, "left"
     )
     named = assignments.select(
-        F.col("tco_name").alias("_name"), PLAN, F.col(COMPONENT).alias("_component")
+        F.col("tco_name").alias("_name"), F.col(PLAN).alias("_plan"), F.col(COMPONENT).alias("_component")
     )
     listed = src.table("tco_shared_component_app_assignment").select(
         F.col("tco_application").alias("tco_applicationid"),
@@ -148,10 +151,9 @@ def shared_cost(src: Sources) -> DataFrame:
         F.col(PLAN).alias("_plan"),
     )
     assigned = (
-        _application_totals(src, accounts="inner", centers=False)
-        .drop(COMPONENT, "tco_shared_component_type")
+        shown.drop(COMPONENT)
         .join(listed, "tco_applicationid", "left")
-        .join(named.withColumnRenamed(PLAN, "_plan"), ["_name", "_plan"], "left")
+        .join(named, ["_name", "_plan"], "left")
         .withColumnRenamed("_component", COMPONENT)
     )
     columns = ["tco_applicationid", "tco_application_name", PLAN, PLAN_NAME, "app_owner", COMPONENT, "app_total"]
@@ -175,11 +177,11 @@ def shared_cost(src: Sources) -> DataFrame:
     )
 
 
-def shared_total(src: Sources) -> DataFrame:
+def shared_total(src: Sources, reuse: bool = False, totals: DataFrame | None = None) -> DataFrame:
     """Shared-component total by region; rounded per application and again in total."""
-    totals = _application_totals(src, accounts="left", centers=True)
+    totals = application_totals(src, reuse=reuse) if totals is None else totals
     per_app = (
-        _with_regions(src, totals)
+        _with_regions(src, _of_latest_applications(src, totals))
         .join(_component_names(src), "tco_name", "left")
         .groupBy("tco_application_name", PLAN_NAME, "component", REGION, "region_pct")
         .agg(F.sum("app_total").alias("total"))
@@ -268,3 +270,14 @@ def shared_by_region(src: Sources) -> DataFrame:
             "tco_total_shared_component_app_buregion_assignment_amt"
         ),
     )
+
+
+def cost_overview(src: Sources, reuse: bool = True) -> dict[str, DataFrame]:
+    """The four overview reports from one pass over the costs with centres, and one without."""
+    totals = application_totals(src, reuse=reuse)
+    return {
+        "regional_cost": regional_cost(src, totals=totals),
+        "shared_cost": shared_cost(src, reuse=reuse),
+        "shared_total": shared_total(src, totals=totals),
+        "shared_by_region": shared_by_region(src),
+    }

@@ -211,14 +211,19 @@ SALES_COLUMNS = (
 STAGE_COLUMNS = tuple(c for c in LEDGER_COLUMNS if c != "line_item")
 
 
-def clearing_stages(entries: DataFrame) -> list[tuple[DataFrame, str]]:
-    """Verdicts of the four clearing rules, each on the rows it applies to."""
+def clearing_stages(entries: DataFrame, reuse: bool = False) -> list[tuple[DataFrame, str]]:
+    """Verdicts of the four clearing rules, each on the rows it applies to.
+
+    The first rule's rows feed the second rule twice; ``reuse`` writes them once.
+    """
     entries = entries.select(*STAGE_COLUMNS)
     kind = F.col("document_type")
     amount = "amount_local"
     by_reference = net_to_zero(
         entries, "reference", amount, rows=entries.filter(~kind.isin(*const.NOTE_TYPES))
     )
+    if reuse:
+        by_reference = stage(by_reference, "by-reference")
     unsettled = by_reference.filter(F.col("balance_result") == "BALANCE")
     by_text = net_to_zero(
         unsettled.drop("balance_result"),
@@ -241,14 +246,13 @@ def clearing_stages(entries: DataFrame) -> list[tuple[DataFrame, str]]:
     ]
 
 
-def open_ledger_lines(entries: DataFrame) -> DataFrame:
+def open_ledger_lines(entries: DataFrame, stages: list[tuple[DataFrame, str]]) -> DataFrame:
     """Ledger lines of the documents with open rows that no rule has cleared.
 
     Company, document and month are never NULL in the ledger, so the cleared test is one
     aggregation over the stacked verdicts.
     """
-    stacked = stack_stages(clearing_stages(entries))
-    documents = uncleared_keys(stacked, ["comp_code", "document_number", "year_month"])
+    documents = uncleared_keys(stack_stages(stages), ["comp_code", "document_number", "year_month"])
     return entries.select(*LEDGER_COLUMNS).join(
         distinct_keys(documents, F.col("document_number")), "document_number", "left_semi"
     )
@@ -316,8 +320,9 @@ def transit_tables(
     keep = stage if reuse else (lambda df, _: df)
     entries = keep(ledger(src, as_of), "ledger")
     sold = keep(sales(src, as_of), "sales")
-    open_ledger = keep(open_ledger_lines(entries), "open-ledger")
-    cleared, _ = staged_clearing(clearing_stages(entries))
+    stages = clearing_stages(entries, reuse)
+    open_ledger = keep(open_ledger_lines(entries, stages), "open-ledger")
+    cleared, _ = staged_clearing(stages)
     totals = sales_totals(sold)
     matched = matched_sales(totals, open_ledger)
     return {
@@ -394,5 +399,5 @@ def transit_reconciliation(src: Sources, as_of: dt.date, reuse: bool = True) ->
     """
     keep = stage if reuse else (lambda df, _: df)
     entries = keep(ledger(src, as_of), "ledger")
-    open_ledger = keep(open_ledger_lines(entries), "open-ledger")
+    open_ledger = keep(open_ledger_lines(entries, clearing_stages(entries, reuse)), "open-ledger")
     return class_summary(open_ledger, matched_sales(sales_totals(sales(src, as_of)), open_ledger))

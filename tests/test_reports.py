@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.adapters import AS_OF, LEDGER_AS_OF, TABLES, adapted, on_spark
 from tallyworks import plans
 from tallyworks.plans import labels, transit
+from tallyworks.plans.cost_overview import cost_overview
 from tallyworks.session import shared_dir, stage
 from tallyworks.sources import Sources, inline
 from tallyworks.sources.tables import snake
@@ -107,6 +108,13 @@ def test_warehouse_sales_can_be_matched_by_warehouse(spark, sf_dir):
     assert df.count() == df.select("date", "plant", "warehouse").distinct().count()
 
 
+def test_overview_shares_its_pass_over_the_costs(spark, sf_dir):
+    src = adapted(spark, sf_dir)
+    together = cost_overview(src)
+    assert rows(together["regional_cost"]) == rows(plans.regional_cost(src, reuse=False))
+    assert rows(together["shared_total"]) == rows(plans.shared_total(src))
+
+
 def test_allocated_and_service_parts_add_up(spark, sf_dir):
     df = plans.cost_to_center(adapted(spark, sf_dir))
     off = df.filter(F.col("app_assigned_amount") + F.col("service_assigned_amount") != F.col("tco_cost_value"))
