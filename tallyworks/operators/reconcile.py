@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,29 +126,35 @@ def summarise_by_class(
     return totals.withColumn(average, F.round(unit, 2))
 
 
-def match_with_fallback(
-    left: DataFrame,
-    right: DataFrame,
-    primary: Mapping[str, str],
-    fallback: Mapping[str, str],
-    columns: Sequence[str],
+def fallback_pairs(
+    left: DataFrame, right: DataFrame, primary: Mapping[str, str], fallback: Mapping[str, str]
 ) -> DataFrame:
-    """Partners by the primary key (or none) together with partners by the fallback key.
+    """Partners by the primary key (or none) and, below them, partners by the fallback key.
 
-    Distinct over ``columns``; both sides' columns must have different names.
+    A pair that both keys find is only listed by the primary key, so the usual case, both
+    systems agreeing, does not double the rows. The sides' columns must differ in name.
     """
 
     def cond(on: Mapping[str, str]) -> Column:
-        parts = [F.col(f"a.{l}") == F.col(f"b.{r}") for l, r in on.items()]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p
-        return out
+        return reduce(and_, [F.col(f"a.{l}") == F.col(f"b.{r}") for l, r in on.items()])
 
     a, b = left.alias("a"), right.alias("b")
+    found_before = F.coalesce(cond(primary), F.lit(False))
+    columns = [*left.columns, *right.columns]
     by_primary = a.join(b, cond(primary), "left").select(*columns)
-    by_fallback = a.join(b, cond(fallback)).select(*columns)
-    return by_primary.unionByName(by_fallback).distinct()
+    by_fallback = a.join(b, cond(fallback) & ~found_before).select(*columns)
+    return by_primary.unionByName(by_fallback)
+
+
+def match_with_fallback(
+    left: DataFrame,
+    right: DataFrame,
+    primary: Mapping[str, str],
+    fallback: Mapping[str, str],
+    columns: Sequence[str],
+) -> DataFrame:
+    """Distinct ``columns`` of the partners by either key; see :func:`fallback_pairs`."""
+    return fallback_pairs(left, right, primary, fallback).select(*columns).distinct()
 
 
 def consolidate(df: DataFrame, keep: Column, columns: Sequence[str | Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import access_key, outside_tolerance, parse_yyyymmdd
 from tallyworks.operators.membership import anti, mark_in
-from tallyworks.operators.reconcile import consolidate
+from tallyworks.operators.reconcile import consolidate, fallback_pairs
 from tallyworks.operators.validate import Rule, status_verdict, validate
 from tallyworks.session import stage
 from tallyworks.sources import Sources
@@ -223,13 +223,15 @@ def invoice_check(src: Sources, as_of: dt.date, reuse: bool = True) -> DataFrame
         tax, lines = stage(tax, "tax"), stage(lines, "invoice-lines")
     verdicts = header_errors(lines, tax).select("doc_num", "access_key", "status", "message").distinct()
     judged = lines.join(verdicts, ["doc_num", "access_key"])
-    by_key = judged.join(tax, F.col("access_key") == F.col("tax_access_key"), "left")
-    by_number = judged.join(
-        tax, (F.col("number") == F.col("tax_number")) & (F.col("issuer_tax_id") == F.col("tax_issuer_id"))
+    pairs = fallback_pairs(
+        judged,
+        tax,
+        {"access_key": "tax_access_key"},
+        {"number": "tax_number", "issuer_tax_id": "tax_issuer_id"},
     )
     keep = (
         F.col("tax_access_key").isNotNull()
         | (F.col("status") == const.INVOICE_STATUS[0])
         | (F.length("access_key") < 44)
     )
-    return consolidate(by_key.unionByName(by_number), keep, OUTPUT)
+    return consolidate(pairs, keep, OUTPUT)
