@@ -51,11 +51,17 @@ L = """li AS (SELECT *, CAST(l_shipdate AS DATE) AS l_day, CAST(l_extendedprice
     CAST(l_quantity AS DECIMAL(38,2)) AS qty FROM lineitem)"""
 
 
-def query(sql: str | None):
-    """Register the decorated function under its own name."""
+def query(sql: str, nullable: tuple[str, ...] = ()):
+    """Register the decorated function under its own name.
+
+    ``nullable`` names integer columns that may be NULL; both sides show them as doubles.
+    """
 
     def wrap(f):
-        register(f.__name__, f, sql)
+        def run(spark, sf):
+            return f(spark, sf).withColumns({c: F.col(c).cast("double") for c in nullable})
+
+        register(f.__name__, run if nullable else f, final(sql, numbers=nullable))
         return f
 
     return wrap
@@ -108,7 +114,8 @@ def p_alias_filter(spark, sf):
 @query(
     """SELECT p_partkey, p_name, p_type, l_orderkey, l_linenumber FROM part LEFT JOIN lineitem ON l_partkey = p_partkey
     AND l_returnflag = 'R' WHERE p_name LIKE 'b%' AND p_type NOT IN ('SMALL', 'LARGE') AND p_size IN (1, 5, 9, 13)
-    AND (l_orderkey IS NULL OR l_linenumber IS NOT NULL)"""
+    AND (l_orderkey IS NULL OR l_linenumber IS NOT NULL)""",
+    nullable=('l_orderkey', 'l_linenumber'),
 )
 def p_in_like(spark, sf):
     returned = read(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
@@ -156,7 +163,9 @@ def j_inner(spark, sf):
     )
 
 
-@query("SELECT o_orderkey, o_orderstatus, l_linenumber FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey")
+@query("SELECT o_orderkey, o_orderstatus, l_linenumber FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey",
+    nullable=('l_linenumber',),
+)
 def j_left(spark, sf):
     li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     return (
@@ -166,7 +175,9 @@ def j_left(spark, sf):
     )
 
 
-@query("SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'")
+@query("SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'",
+    nullable=('o_orderkey',),
+)
 def j_right(spark, sf):
     urgent = orders(spark, sf).filter(F.col("o_orderpriority") == "1-URGENT")
     return urgent.join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "right").select(
@@ -176,7 +187,8 @@ def j_right(spark, sf):
 
 @query(
     """SELECT o_orderkey, l_linenumber FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'
-    AND l_linestatus <> ' '"""
+    AND l_linestatus <> ' '""",
+    nullable=('l_linenumber',),
 )
 def j_left_const(spark, sf):
     li = read(spark, sf, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") != " "))
@@ -185,7 +197,8 @@ def j_left_const(spark, sf):
 
 @query(
     """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey
-    AND o_orderdate = (SELECT max(o_orderdate) FROM orders)"""
+    AND o_orderdate = (SELECT max(o_orderdate) FROM orders)""",
+    nullable=('o_orderkey',),
 )
 def j_left_latest(spark, sf):
     newest = membership.latest(orders(spark, sf), "o_date")
@@ -1124,12 +1137,16 @@ def _matched(spark, sf):
     )
 
 
-@query(final(f"WITH {_MATCHED} SELECT * FROM m", numbers=["b_amount"]))
+@query(final(f"WITH {_MATCHED} SELECT * FROM m", numbers=["b_amount"]),
+    nullable=('b_key',),
+)
 def c_match_fallback(spark, sf):
     return _matched(spark, sf)
 
 
-@query(f"WITH {_MATCHED} SELECT DISTINCT a_key, b_key FROM m WHERE b_key IS NOT NULL OR a_key % 17 = 13")
+@query(f"WITH {_MATCHED} SELECT DISTINCT a_key, b_key FROM m WHERE b_key IS NOT NULL OR a_key % 17 = 13",
+    nullable=('b_key',),
+)
 def c_consolidate(spark, sf):
     keep = F.col("b_key").isNotNull() | (F.col("a_key") % 17 == 13)
     return reconcile.consolidate(_matched(spark, sf), keep, ["a_key", "b_key"])

@@ -40,8 +40,8 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only where none is set."""
+def shared_dir(spark: SparkSession) -> str | None:
+    """The cluster's shared checkpoint folder; a scratch folder only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
         scratch = tempfile.mkdtemp(prefix="tallyworks-")
         spark.conf.set("spark.checkpoint.dir", scratch)
         return scratch
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return None
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -59,9 +59,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Used where one costly intermediate feeds several branches. A written table survives
     lost executors, keeps column pruning and filter pushdown for its readers, and gives
-    the optimizer real sizes for its broadcast decisions.
+    the optimizer real sizes for its broadcast decisions. On a cluster that names no
+    shared folder the branches recompute instead.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = shared_dir(spark)
+    if folder is None:
+        return df
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
