@@ -625,8 +625,8 @@ def f_string(spark, sf):
             F.right(name, F.lit(3)).alias("tail"),
             F.substring(name, 0, 2).alias("sub0"),
             F.substring(name, 3, 5).alias("sub3"),
-            F.length(name).alias("size"),
-            F.instr(name, "#").alias("hash_at"),
+            F.length(name).cast("bigint").alias("size"),
+            F.instr(name, "#").cast("bigint").alias("hash_at"),
             fn.comma_decimal(c("o_amount")).alias("comma"),
             F.concat(F.when(c("o_orderkey") % 3 != 0, name), F.lit("!")).alias("nullable"),
         )

@@ -24,7 +24,7 @@ _CTES = f"""WITH raw AS (
         AND strftime({_D.format('budat')}, '%Y/%m') <> '2021/07'
         AND CASE kind WHEN 1 THEN augbl = '' ELSE strftime({_D.format('augdt')}, '%Y/%m') = '2021/07' END),
 led AS (SELECT *, year(posting_date) || '/' || month(posting_date) AS year_month,
-        DATE '2021-07-15' - document_date AS aging,
+        CAST(DATE '2021-07-15' - document_date AS INTEGER) AS aging,
         CASE WHEN DATE '2021-07-15' - document_date < 30 THEN 'Current' WHEN DATE '2021-07-15' - document_date = 30
         THEN 'Over 30 Days' WHEN DATE '2021-07-15' - document_date BETWEEN 31 AND 59 THEN '31-59 Days'
         WHEN DATE '2021-07-15' - document_date BETWEEN 60 AND 90 THEN '60-90 Days*'
