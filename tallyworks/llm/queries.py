@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import simhash
+from tallyworks.llm import simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_digests(_read(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_simhash,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_suffix_dedup, op6_simhash)}
 ORACLES: dict[str, str] = {}
