@@ -25,6 +25,8 @@ from tallyworks.operators.skew import group_apart
 
 #: Positions are stored with the run's two distances, of 16 bits each, in one long.
 _PACK = 16
+#: Runs of one prefix that a single task compares; the windows of more runs are dealt out one by one.
+MANY_RUNS = 1024
 #: Windows fingerprinted by one call.
 _CHUNK = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -139,10 +141,12 @@ def _window_prints(data: bytes, length: int) -> np.ndarray:
 def repeated_windows(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """(prefix, run, low, high): ranges of starts in a run, from its first, whose windows other runs have too.
 
-    ``runs`` has one place (doc, at) of each distinct run of an anchor prefix that has several. Their
-    bytes are fetched and all their windows sorted by fingerprint, where equal windows are neighbours.
+    ``runs`` has one place (doc, at) of each distinct run of an anchor prefix that has several, and their
+    number, ``kinds``. Their bytes are fetched and all their windows sorted by fingerprint, where equal
+    windows are neighbours: within a task for the runs of one prefix, or by the cluster for a prefix
+    with very many runs, such as the edge of a passage that a third of all texts share.
     """
-    wanted = runs.groupBy(F.struct("doc").alias("k")).agg(F.collect_list(F.struct("prefix", "run", "at")).alias("runs"))
+    wanted = runs.groupBy(F.struct("doc").alias("k")).agg(F.collect_list(F.struct("prefix", "run", "at", "kinds")).alias("runs"))
     texts = docs.join(wanted.select(F.col("k.doc").alias("doc"), "runs"), "doc").select(
         "runs", F.col("text").cast("binary").alias("text")
     )
@@ -154,10 +158,26 @@ def repeated_windows(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame
                 parts = []
                 for r in rows:
                     anchor, first, last = r["at"] >> (2 * _PACK), (r["at"] >> _PACK) & 0xFFFF, r["at"] & 0xFFFF
-                    parts.append((r["prefix"], r["run"], first, data[anchor - first : anchor - last + length]))
+                    parts.append((r["prefix"], r["run"], r["kinds"], data[anchor - first : anchor - last + length]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*parts, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                    ["prefix", "run", "first", "data"],
+                    [pa.array(c, t) for c, t in zip(zip(*parts, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                    ["prefix", "run", "kinds", "data"],
+                )
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for prefix, run, data in zip(*(batch.column(i) for i in range(3)), strict=True):
+                prints = _window_prints(data.as_py(), length).view(np.int64).reshape(-1, 2)
+                n = len(prints)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.ascontiguousarray(prints[:, 0])),
+                        pa.array(np.ascontiguousarray(prints[:, 1])),
+                        pa.array([prefix.as_py()] * n, pa.int64()),
+                        pa.array([run.as_py()] * n, pa.int64()),
+                        pa.array(np.arange(n, dtype=np.int32)),
+                    ],
+                    ["w0", "w1", "prefix", "run", "low"],
                 )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +203,14 @@ def repeated_windows(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame
                     ["prefix", "run", "low", "high"],
                 )
 
-    fetched = texts.mapInArrow(fetch, "prefix long, run long, first int, data binary").drop("first")
-    return fetched.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(scan, "prefix long, run long, low int, high int")
+    fetched = staged(texts.mapInArrow(fetch, "prefix long, run long, kinds long, data binary"), "suffix-texts", compression="zstd")
+    few = fetched.where(F.col("kinds") <= MANY_RUNS).select("prefix", "run", "data")
+    few = few.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(scan, "prefix long, run long, low int, high int")
+    many = fetched.where(F.col("kinds") > MANY_RUNS).select("prefix", "run", "data")
+    many = many.mapInArrow(windows, "w0 long, w1 long, prefix long, run long, low int")
+    again = group_apart(many, ["w0", "w1"], {"n": F.count("*")}).where("n > 1").select("w0", "w1")
+    many = many.join(again, ["w0", "w1"], "left_semi")
+    return few.unionByName(many.select("prefix", "run", "low", F.col("low").alias("high")))
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -213,8 +239,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4) -> Data
     runs = staged(
         rows.groupBy("prefix", "run").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("place")), "suffix-runs"
     )
-    several = group_apart(runs, ["prefix"], {"kinds": F.count("*")}).where("kinds > 1").select("prefix")
-    places = runs.join(several, "prefix", "left_semi").select("prefix", "run", "place.doc", "place.at")
+    several = group_apart(runs, ["prefix"], {"kinds": F.count("*")}).where("kinds > 1")
+    places = runs.join(several, "prefix").select("prefix", "run", "kinds", "place.doc", "place.at")
     partial = repeated_windows(places, docs, length)
     ranges = partial.unionByName(
         runs.where("n > 1").select("prefix", "run", F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"))

@@ -43,7 +43,8 @@ def random_texts(seed):
 
 
 @pytest.mark.parametrize("length,seed", [(400, 1), (400, 2), (50, 3), (6, 4)])
-def test_against_all_windows(spark, documents, length, seed):
+def test_against_all_windows(spark, documents, length, seed, monkeypatch):
+    monkeypatch.setattr(suffixes, "MANY_RUNS", 4)
     texts = random_texts(seed) + [None, "", "x" * 1500, "xy" * 700, "é" * 300, "short", "z" * length, "w" * (length + 1)]
     rows = [(i if i % 7 else None, t) for i, t in enumerate(texts)]
     rows += rows[:3]
