@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyworks.llm import simhash, suffixes
+from tallyworks.llm import language, mixing, packing, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +20,30 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digests(_read(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages in one run: rows of either table have its id and a null for the other's."""
+    docs, pages = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "pages")
+    none = F.lit(None).cast("long")
+    rows = language.document_rows(docs, F.col("doc_id"), none.alias("page_id")).unionByName(
+        language.page_rows(pages, none.alias("doc_id"), F.col("page_id"))
+    )
+    return language.identify(rows, language.train(docs), ["doc_id", "page_id"])
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(_read(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_suffix_dedup, op6_simhash)}
-ORACLES: dict[str, str] = {}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op2_suffix_dedup, op4_language, op5_mixing, op6_simhash, op10_packing)
+}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}

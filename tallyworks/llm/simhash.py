@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.shared import components, forest, runs, staged, whole_groups
+from tallyworks.operators.skew import group_apart
 
 BITS = 64
 #: Estimated cost of comparing a pair, against that of shuffling and sorting one key.
@@ -256,10 +257,31 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col:
     rooted = classes.join(reach, classes.fingerprint == reach.node, "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
-    least = rooted.groupBy(F.struct("root").alias("k")).agg(F.min("first").alias("component_id"))
-    named = rooted.join(least.select(F.col("k.root").alias("root"), "component_id"), "root")
-    named = named.groupBy(F.struct("fingerprint").alias("k")).agg(F.first("component_id").alias("component_id"))
-    named = named.select(F.col("k.fingerprint").alias("fingerprint"), "component_id")
+    least = group_apart(rooted, ["root"], {"component_id": F.min("first")})
+    named = group_apart(rooted.join(least, "root"), ["fingerprint"], {"component_id": F.first("component_id")})
     return prints.join(named, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each SimHash group, all columns kept: a row of its smallest doc_id.
+
+    Of several rows with that doc_id the one with the least text stays. A group whose rows all lack a
+    doc_id keeps one with its least text, a null text first.
+    """
+    columns = docs.columns
+    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    prints = staged(fingerprints(keyed, shingle, 42, "_row").withColumnRenamed("doc_id", "_row"), "simhash-rows")
+    # groups of rows instead of ids, so that rows without one, or with the same, are told apart
+    ids = keyed.select("_row", F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    ids = ids.select("_row", F.struct(F.col("id").isNull().alias("no_id"), "id", F.md5("text").alias("text"), "_row").alias("rank"))
+    ranked = prints.join(ids.dropDuplicates(["_row"]), "_row")
+    classes = staged(ranked.groupBy("fingerprint").agg(F.min("rank").alias("first")), "simhash-classes")
+    reach = components(links(classes, distance), "simhash-links")
+    rooted = classes.join(reach, classes.fingerprint == reach.node, "left").select(
+        "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+    stays = group_apart(rooted, ["root"], {"first": F.min("first")}).select(F.col("first._row").alias("_row"))
+    once = keyed.join(stays, "_row", "left_semi")
+    return once.dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in columns])
