@@ -171,9 +171,9 @@ def identify(rows: DataFrame, model: TextModel, keys: list[str]) -> DataFrame:
     language = F.element_at(names, F.array_position("total", F.col("top")).cast("int"))
     out = found.select(
         *keys,
-        language.alias("language"),
-        F.coalesce(1 / weight, F.lit(0.0)).alias("posterior"),
-        F.element_at(names, F.col("best")).alias("text_language"),
+        F.when(F.col("scores").isNotNull(), language).alias("language"),
+        F.when(F.col("scores").isNotNull(), 1 / weight).otherwise(0.0).alias("posterior"),
+        F.when(F.col("best").isNotNull(), F.element_at(names, F.col("best"))).alias("text_language"),
     )
     kept = (F.col("language") != OTHER) & (F.col("posterior") >= 0.5)
     return out.withColumn("kept", F.coalesce(kept, F.lit(False)))

@@ -36,6 +36,8 @@ def test_documents(spark, documents):
         assert (by_id[i].language, by_id[i].posterior, by_id[i].kept) == (None, 0.0, False)
     assert by_id[1003].language == "und" and not by_id[1003].kept
     assert by_id[1004].language == "de" and by_id[1005].language == "fr" and by_id[None].language == "en"
+    own = language.train(everything)  # this model has seen the odd rows too
+    found = language.identify(language.document_rows(everything, everything.doc_id), own, ["doc_id"]).collect()
     kept = language.identified_documents(everything)
     assert kept.columns == everything.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(r.doc_id or 0 for r in found if r.kept)
