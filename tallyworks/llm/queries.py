@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import language, mixing, packing, simhash, suffixes
+from tallyworks.llm import language, mixing, packing, simhash, suffixes, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digests(_read(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_digest(_read(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages in one run: rows of either table have its id and a null for the other's."""
     docs, pages = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "pages")
@@ -38,12 +42,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_read(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(_read(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_suffix_dedup, op4_language, op5_mixing, op6_simhash, op10_packing)
+    for f in (op2_suffix_dedup, op3_token_files, op4_language, op5_mixing, op6_simhash, op9_warc, op10_packing)
 }
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}
