@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import language, mixing, packing, simhash, suffixes, tokenfile, warc
+from tallyworks.llm import language, licenses, mixing, multiindex, packing, simhash, sketches, suffixes, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.linked_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digests(_read(spark, sf_dir, "documents"))
 
@@ -42,6 +46,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.version_fingerprints(_read(spark, sf_dir, "documents"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(_read(spark, sf_dir, "pages"))
 
@@ -52,6 +64,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_suffix_dedup, op3_token_files, op4_language, op5_mixing, op6_simhash, op9_warc, op10_packing)
+    for f in (
+        op1_multi_index,
+        op2_suffix_dedup,
+        op3_token_files,
+        op4_language,
+        op5_mixing,
+        op6_simhash,
+        op7_sketches,
+        op8_licenses,
+        op9_warc,
+        op10_packing,
+    )
 }
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}

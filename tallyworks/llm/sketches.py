@@ -1,0 +1,233 @@
+"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
+
+A text is cut into paragraphs, and each paragraph's digest is added to three cells of a sketch: a count, the
+exclusive or of the digests, and that of their checks. Subtracting two sketches cancels what two versions
+share; cells left with one digest are peeled off until the differing digests are recovered. Where
+peeling stops early, both are sketched anew in twice the size. Many pairs are worked on at once, each in a range of
+cells of its own.
+"""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+import struct
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Cells of the sketch that serves as the fingerprint; sketches for peeling are as large as they need be.
+PRINT_CELLS = 12
+#: Paragraphs end at line breaks and after sentence marks, and longer ones are cut into parts of so many characters.
+PART_CHARS = 96
+_PARAGRAPH = re.compile(r"[^\n.!?]{1,%d}[.!?]*\n*|[\n.!?]+" % PART_CHARS)
+_HASHES = 3
+#: Pairs compared at once have about so many characters.
+BATCH_CHARS = 1 << 20
+
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
+
+
+def _mixed(x: np.ndarray, k: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _MIX[k]
+    x = (x ^ (x >> np.uint64(29))) * _MIX[(k + 1) % 4]
+    return x ^ (x >> np.uint64(32))
+
+
+def digests(text: str) -> np.ndarray:
+    """A digest of each paragraph; repeats of one are told apart by their number."""
+    h = xxhash.xxh3_64_intdigest
+    found = np.array([h(p) for p in _PARAGRAPH.findall(text)], np.uint64)
+    order = np.argsort(found, kind="stable")
+    ranked = found[order]
+    fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, bool)
+    if fresh.all():
+        return found
+    at = np.arange(len(ranked))
+    nth = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    return np.where(nth > 0, _mixed(ranked + nth.astype(np.uint64) * _MIX[1], 3), ranked)
+
+
+class Sketches:
+    """Sketches side by side: pair p has cells ``base[p]`` to ``base[p] + size[p]``."""
+
+    def __init__(self, size: np.ndarray):
+        self.size = size
+        self.base = np.cumsum(size) - size
+        n = int(size.sum())
+        self.count, self.keys, self.checks = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+
+    def cells(self, pair: np.ndarray, key: np.ndarray) -> Iterator[np.ndarray]:
+        third = (self.size[pair] // _HASHES).astype(np.uint64)
+        for k in range(_HASHES):
+            yield self.base[pair] + (_mixed(key, k) % third).astype(np.int64) + (third * np.uint64(k)).astype(np.int64)
+
+    def add(self, pair: np.ndarray, key: np.ndarray, sign: np.ndarray | int) -> None:
+        check = _mixed(key, 3)
+        for at in self.cells(pair, key):
+            np.add.at(self.count, at, sign)
+            np.bitwise_xor.at(self.keys, at, key)
+            np.bitwise_xor.at(self.checks, at, check)
+
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Recovered digests (pair, key, sign), and which pairs are empty afterwards."""
+        owner = np.repeat(np.arange(len(self.size)), self.size)
+        found: list[tuple[np.ndarray, ...]] = []
+        look = np.flatnonzero(self.count)
+        while len(look):
+            one = look[(np.abs(self.count[look]) == 1) & (self.checks[look] == _mixed(self.keys[look], 3))]
+            if not len(one):
+                break
+            pair, key, sign = owner[one], self.keys[one], self.count[one]
+            _, first = np.unique(np.stack([pair.astype(np.uint64), key]), axis=1, return_index=True)
+            pair, key, sign = pair[first], key[first], sign[first]
+            found.append((pair, key, sign))
+            self.add(pair, key, -sign)
+            look = np.unique(np.concatenate(list(self.cells(pair, key))))
+        left = np.bincount(owner[(self.count != 0) | (self.keys != 0) | (self.checks != 0)], minlength=len(self.size))
+        none = np.zeros(0, np.int64)
+        parts = [np.concatenate([none.astype(p.dtype), *c]) for p, c in zip((none, none.astype(np.uint64), none), zip(*found, strict=True), strict=True)] if found else [none, none.astype(np.uint64), none]
+        return (*parts, left == 0)
+
+
+def fingerprint_text(keys: np.ndarray) -> str:
+    """The fixed small sketch as text: of each cell the count and both sums."""
+    s = Sketches(np.array([PRINT_CELLS]))
+    s.add(np.zeros(len(keys), np.int64), keys, 1)
+    raw = b"".join(struct.pack("<IQH", c & 0xFFFFFFFF, k, x & 0xFFFF) for c, k, x in zip(s.count.tolist(), s.keys.tolist(), s.checks.tolist(), strict=True))
+    return base64.b85encode(raw).decode()
+
+
+def differences(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each pair of versions, the digests that only the left and only the right one has, by subtracting sketches.
+
+    The first size follows from an estimate: the squared counts of a small difference sum to about three
+    times the number of differing digests. Whatever pair fails to peel is tried again in twice the size.
+    """
+    out: list = [None] * len(left)
+    todo = np.arange(len(left))
+    counts = np.array([(len(a), len(b)) for a, b in zip(left, right, strict=True)]).reshape(-1, 2)
+
+    def subtracted(pairs: np.ndarray, size: np.ndarray) -> Sketches:
+        s = Sketches(size)
+        for side, sign in ((left, 1), (right, -1)):
+            keys = [side[p] for p in pairs]
+            owner = np.repeat(np.arange(len(pairs)), [len(k) for k in keys])
+            s.add(owner, np.concatenate([np.zeros(0, np.uint64), *keys]), sign)
+        return s
+
+    probe = subtracted(todo, np.full(len(todo), 2 * PRINT_CELLS)) if len(todo) else Sketches(np.zeros(0, np.int64))
+    differ = np.add.reduceat(probe.count**2, probe.base) / _HASHES if len(todo) else np.zeros(0)
+    differ = np.maximum(differ, np.abs(counts[:, 0] - counts[:, 1]))
+    size = (np.ceil(np.minimum(differ, counts.sum(axis=1)) * 1.5 / _HASHES).astype(np.int64) + 4) * _HASHES
+    while len(todo):
+        pair, key, sign, empty = subtracted(todo, size).peel()
+        order = np.argsort(pair, kind="stable")
+        pair, key, sign = pair[order], key[order], sign[order]
+        cut = np.searchsorted(pair, np.arange(len(todo) + 1))
+        for k in np.flatnonzero(empty):
+            own, s = key[cut[k] : cut[k + 1]], sign[cut[k] : cut[k + 1]]
+            out[todo[k]] = (own[s > 0], own[s < 0])
+        todo, size = todo[~empty], size[~empty] * 2
+    return out
+
+
+def likeness(left: list[np.ndarray], right: list[np.ndarray]) -> list[float]:
+    """Share of both versions' paragraphs that the difference leaves; 1 if neither has any."""
+    return [
+        1.0 if not len(a) + len(b) else 1 - (len(x) + len(y)) / (len(a) + len(b))
+        for a, b, (x, y) in zip(left, right, differences(left, right), strict=True)
+    ]
+
+
+def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(bucket, heir, doc_id, text): documents in sorted buckets, each followed by the next bucket's first.
+
+    Ascending doc_id, null first, equal ids by text. Buckets are ranges of doc_id of about equal size. Their first
+    documents go along with the bucket before (``heir`` 1), the very first with the last bucket, so every document
+    has its successor at hand without a global sort or a second pass over the texts.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    count = buckets or max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    quantiles = [k / count for k in range(1, count)]
+    cuts = sorted(set(rows.select(F.percentile_approx("doc_id", quantiles, 100 * count)).first()[0] or []))
+    low = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<long>")
+    placed = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(low, lambda c: c <= F.col("doc_id")))))
+    firsts = placed.groupBy("bucket").agg(F.min("doc_id").alias("doc_id")).orderBy("bucket").collect()  # a row per bucket
+    if not firsts:
+        return placed.select("bucket", F.lit(0).alias("heir"), "doc_id", "text")
+    order = [r.bucket for r in firsts]
+    before, first = {b: order[k - 1] for k, b in enumerate(order)}, {r.bucket: r.doc_id for r in firsts}
+    span = range(-1, order[-1] + 1)  # buckets by number, from that of null
+    at = F.col("bucket") + 2
+    leads = F.col("doc_id").eqNullSafe(F.element_at(F.array(*[F.lit(first.get(b)).cast("long") for b in span]), at))
+    heir = F.struct(F.element_at(F.array(*[F.lit(before.get(b)).cast("int") for b in span]), at).alias("bucket"), F.lit(1).alias("heir"))
+    own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("heir"))
+    goes = F.when(leads, F.array(own, heir)).otherwise(F.array(own))
+    dealt = placed.select(F.explode(goes).alias("to"), "doc_id", "text").select("to.bucket", "to.heir", "doc_id", "text")
+    return dealt.repartition(count, "bucket").sortWithinPartitions("bucket", "heir", "doc_id", "text")
+
+
+def version_fingerprints(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, only_in_text, only_in_edited).
+
+    The edited text has the last quarter of the characters, rounded down, replaced by as many first ones
+    of the next document, or all it has; the next of the last is the first, so a single document is its own. A fingerprint is a small
+    sketch of a text's paragraphs; likenesses are shares of paragraphs that two versions have in common,
+    found by subtracting and peeling sketches. A null text counts as empty. Null doc_ids come first and equal ids
+    go by their text. Further columns are ignored; no rows give no rows.
+    """
+
+    def finish(group: list[tuple]) -> pa.RecordBatch:
+        """Results of documents with their successors: (doc_id, text, next text)."""
+        texts = [t or "" for _, t, _ in group]
+        follow = [t or "" for _, _, t in group]
+        edited = [t[: len(t) - len(t) // 4] + n[: len(t) // 4] for t, n in zip(texts, follow, strict=True)]
+        own, new = [digests(t) for t in texts], [digests(t) for t in edited]
+        after = [*own[1:], digests(follow[-1])]
+        gone = differences(own, new)
+        near = [1.0 if not len(a) + len(b) else 1 - (len(x) + len(y)) / (len(a) + len(b)) for a, b, (x, y) in zip(own, new, gone, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([i for i, _, _ in group], pa.int64()),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
+                pa.array([fingerprint_text(k) for k in own]),
+                pa.array([fingerprint_text(k) for k in new]),
+                pa.array(near, pa.float64()),
+                pa.array(likeness(own, after), pa.float64()),
+                pa.array([len(x) for x, _ in gone], pa.int64()),
+                pa.array([len(y) for _, y in gone], pa.int64()),
+            ],
+            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "only_in_text", "only_in_edited"],
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # the last document, until its successor comes: bucket, doc_id, text
+        group: list[tuple] = []
+        size = 0
+        for batch in batches:
+            for bucket, heir, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held is not None and held[0] == bucket:
+                    group.append((held[1], held[2], text))
+                    size += len(held[2] or "")
+                    held = None
+                if not heir:
+                    held = (bucket, doc, text)
+                if size >= BATCH_CHARS or (held is None and group):
+                    # neighbours share their digests, so a group ends where the order does
+                    yield finish(group)
+                    group, size = [], 0
+        if group:
+            yield finish(group)
+
+    schema = (
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+        " near_edited double, near_next double, only_in_text long, only_in_edited long"
+    )
+    return with_next(docs).select("bucket", "heir", "doc_id", "text").mapInArrow(work, schema)
