@@ -146,8 +146,11 @@ class Scanner:
         found = []
         for name, places in hits.items():
             notice = self.notices[name]
-            for first, last in self._regions(text, name, places):
-                low, high = max(0, first - len(notice)), min(len(text), last + len(notice) + 1)
+            regions = list(self._regions(text, name, places))
+            for k, (first, last) in enumerate(regions):
+                # as far as the notice's length to both sides, but not into another region
+                low = max(regions[k - 1][1] + 1 if k else 0, first - len(notice))
+                high = min(regions[k + 1][0] if k + 1 < len(regions) else len(text), last + len(notice) + 1)
                 pairs = align(text[low:high], notice)
                 # the notice stands together: words far before or after the rest are chance
                 pairs = [p for p in pairs if first <= p[0] + low <= last or self._beside(p, pairs)]

@@ -25,7 +25,7 @@ def test_notices(spark, documents):
         rows.append((k, f"{prose}\n{notice.upper()}\n{prose}"))
         want[k] = name
     rows += [
-        (100, prose), (101, ""), (102, None), (None, licenses.TEMPLATES["MIT"]), (103, licenses.TEMPLATES["MIT"] * 3),
+        (100, prose), (101, ""), (102, None), (None, licenses.TEMPLATES["MIT"]), (103, (licenses.TEMPLATES["MIT"] + " ") * 3),
         (104, "(All rights reserved) " + prose * 40 + " Licensed under CC BY-NC 4.0."), (105, "rights all reserved of the"),
         (106, licenses.TEMPLATES["MIT-full"].replace("hereby", "").replace("Software", "Program")), (103, "same id"),
     ]
