@@ -25,8 +25,9 @@ from tallyworks.operators.skew import group_apart
 
 #: Positions are stored with the run's two distances, of 16 bits each, in one long.
 _PACK = 16
-#: Runs of one prefix that a single task compares; the windows of more runs are dealt out one by one.
-MANY_RUNS = 1024
+#: Runs of one prefix that a single task compares, about 10 MB of text and 33 MB of fingerprints; the windows of
+#: more runs are dealt out one by one.
+MANY_RUNS = 16_384
 #: Windows fingerprinted by one call.
 _CHUNK = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
