@@ -148,10 +148,12 @@ class Scanner:
             notice = self.notices[name]
             regions = list(self._regions(text, name, places))
             for k, (first, last) in enumerate(regions):
-                # as far as the notice's length to both sides, but not into another region
-                low = max(regions[k - 1][1] + 1 if k else 0, first - len(notice))
-                high = min(regions[k + 1][0] if k + 1 < len(regions) else len(text), last + len(notice) + 1)
-                pairs = align(text[low:high], notice)
+                # as far as the notice's length to both sides, with and without what belongs to other regions
+                low, high = max(0, first - len(notice)), min(len(text), last + len(notice) + 1)
+                after = max(low, regions[k - 1][1] + 1) if k else low
+                until = min(high, regions[k + 1][0]) if k + 1 < len(regions) else high
+                tried = [(lo, align(text[lo:hi], notice)) for lo, hi in {(low, high), (after, high), (low, until), (after, until)}]
+                low, pairs = max(tried, key=lambda t: (len(t[1]), t[0]))
                 # the notice stands together: words far before or after the rest are chance
                 pairs = [p for p in pairs if first <= p[0] + low <= last or self._beside(p, pairs)]
                 coverage = len(pairs) / len(notice)
