@@ -21,6 +21,43 @@ LEDGER_AS_OF = dt.date(2021, 7, 15)
 CHECK_AS_OF = dt.date(1998, 6, 30)
 
 
+# The listed operation names, kept apart from the library's so that a wrong one there shows.
+OPERATION_NAMES = (
+    "Exportação Temporária",
+    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq.",
+    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq. /  Remessa",
+    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq. /  Rem. ind",
+    "Remessa de bem por contrato de comodato ou locação",
+    "Remessa de vasilhame ou sacaria",
+    "Remessa merc.conta ord.terc.em venda à\u00a0ordem",
+    "Remessa p/ depós. fech. arm.geral ou outro est.",
+    "Remessa p/ depósito fechado ou arm.geral",
+    "Venda de mercadoria adquirida ou recebida terc.",
+    "Venda de produção do estabelecimento",
+    "Venda merc. adq. rec. terc. que ñ deva ele trans.",
+    "Venda merc. adq. rec. terc. que ñ deva ele trans. /  Remessa",
+    "Venda merc.adq. rec. terc. dest. ZFM Ár. Liv. Com.",
+    "Venda merc.adq.receb.de terceiros",
+    "Venda merc.adq.receb.de terceiros /  Remessa de vasilhame ou",
+    "Venda merc.adq.receb.de terceiros /  Venda produção do estab",
+    "Venda prod. estab. dest. ZFM Ár. Livre Comércio",
+    "Venda prod. estab. ñ deva por ele transitar",
+    "Venda prod.estab.ent.des.cnt.ord.adq.orig.vnd.ord.",
+    "Venda produção do estabelecimento",
+    "Venda produção do estabelecimento /  Remessa de vasilhame ou",
+    "Vnd merc.adq.rec.terc.ent.des.vend.remet vnd.ord",
+    "Vnd.mer.adq.rec.ter.rem.ind.cnt.o.adq.tra.est.adq.",
+    "Vnd.prod.est.rem.ind.cnt.ord.adq.s/ tran.est.adq./ Vnd.mer",
+    "Vnd.prod.est.rem.ind.cnt.ord.adq.s/ tran.est.adq.",
+    "Venda produção do estabelecimento /  Venda merc.adq.receb.de",
+)
+# Names outside the list: transfers, and a listed name with one space less.
+UNLISTED_NAMES = (
+    "Transferência produção estabelecimento",
+    "Venda produção do estabelecimento / Remessa de vasilhame ou",
+)
+
+
 def z(expr: str, width: int, pad: str = "0") -> str:
     return f"lpad(cast({expr} AS string), {width}, '{pad}')"
 
@@ -189,8 +226,7 @@ TABLES: dict[str, str] = {
         {z('c_custkey', 14)} AS stcd1, {z('c_custkey', 12, '7')} AS stcd3, '300' AS mandt FROM customer""",
     # Invoices
     "j_1bnfdoc": f"""SELECT {z('o_orderkey', 10)} AS docnum, CASE WHEN o_orderkey % 5 = 4 THEN '2' ELSE '1' END AS direct,
-        {pick('o_orderkey % 4', ['Venda de produção do estabelecimento', 'Transferência produção estabelecimento',
-               'Remessa de vasilhame ou sacaria', 'Venda produção do estabelecimento'])} AS natop,
+        {pick('o_orderkey % 29', [*OPERATION_NAMES, *UNLISTED_NAMES])} AS natop,
         {z('o_orderkey', 9)} AS nfenum, '1' AS series,
         CASE WHEN o_orderkey % 17 = 2 THEN '' ELSE {z('o_custkey % 25', 14, '1')} END AS cnpj_bupla,
         {z('o_custkey', 14)} AS cgc, {d8('o_orderdate')} AS docdat,

@@ -218,7 +218,7 @@ def snapshot_sql() -> str:
         GROUP BY knumv) it ON it.knumv = vk.knumv
     LEFT JOIN alq al ON al.knumv = vk.knumv AND al.kposn = vp.posnr
     LEFT JOIN vbpa pa ON pa.vbeln = l.refkey AND pa.parvw IN ('CR', 'SP') LEFT JOIN lfa1 lf ON lf.lifnr = pa.lifnr
-    WHERE {_KEY} IS NOT NULL AND natop IN {in_list(const.OPERATIONS)}
+    WHERE {_KEY} IS NOT NULL AND natop IN {in_list(a.OPERATION_NAMES)}
     AND mtart IN {in_list(const.SNAPSHOT_MATERIAL_TYPES)} AND {_D.format('docdat')} = DATE '1997-12-29')
     SELECT {', '.join(plain)}, {printed} FROM rows_"""
     assert set(PRINTED) == set(numbers)

@@ -25,7 +25,7 @@ def strip_prefix(col: Column, prefixes: Sequence[str]) -> Column:
     """Cut the first matching prefix; text without any of them stays."""
     out = F
     for p in prefixes:
-        out = out.when(col.startswith(p), F.substring(col, len(p) + 1, 1 << 20))
+        out = out.when(col.startswith(p), F.substr(col, F.lit(len(p) + 1)))
     return col if out is F else out.otherwise(col)
 
 

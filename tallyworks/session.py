@@ -41,17 +41,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder; a scratch folder only in local mode."""
+    """The cluster's shared checkpoint folder; where none is set, a scratch folder in local mode only."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        scratch = tempfile.mkdtemp(prefix="tallyworks-")
-        spark.conf.set("spark.checkpoint.dir", scratch)
-        return scratch
-    return None
+    if spark.sparkContext.getCheckpointDir() is None and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyworks-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -68,35 +68,35 @@ FREIGHT_TYPES = (
     ("9", "Sem Ocorrência de Transporte"),
 )
 
-# Operation names of invoices that are snapshotted.
+# Operation names of invoices that are snapshotted; the double spaces and the no-break space belong to them.
 OPERATIONS = (
     "Exportação Temporária",
     "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq.",
-    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq. / Remessa",
-    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq. / Rem. ind",
+    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq. /  Remessa",
+    "Rem. ind.cta.ord.adq.merc.qndo ñ tran.estab.adq. /  Rem. ind",
     "Remessa de bem por contrato de comodato ou locação",
     "Remessa de vasilhame ou sacaria",
-    "Remessa merc.conta ord.terc.em venda à ordem",
+    "Remessa merc.conta ord.terc.em venda à\u00a0ordem",
     "Remessa p/ depós. fech. arm.geral ou outro est.",
     "Remessa p/ depósito fechado ou arm.geral",
     "Venda de mercadoria adquirida ou recebida terc.",
     "Venda de produção do estabelecimento",
     "Venda merc. adq. rec. terc. que ñ deva ele trans.",
-    "Venda merc. adq. rec. terc. que ñ deva ele trans. / Remessa",
+    "Venda merc. adq. rec. terc. que ñ deva ele trans. /  Remessa",
     "Venda merc.adq. rec. terc. dest. ZFM Ár. Liv. Com.",
     "Venda merc.adq.receb.de terceiros",
-    "Venda merc.adq.receb.de terceiros / Remessa de vasilhame ou",
-    "Venda merc.adq.receb.de terceiros / Venda produção do estab",
+    "Venda merc.adq.receb.de terceiros /  Remessa de vasilhame ou",
+    "Venda merc.adq.receb.de terceiros /  Venda produção do estab",
     "Venda prod. estab. dest. ZFM Ár. Livre Comércio",
     "Venda prod. estab. ñ deva por ele transitar",
     "Venda prod.estab.ent.des.cnt.ord.adq.orig.vnd.ord.",
     "Venda produção do estabelecimento",
-    "Venda produção do estabelecimento / Remessa de vasilhame ou",
+    "Venda produção do estabelecimento /  Remessa de vasilhame ou",
     "Vnd merc.adq.rec.terc.ent.des.vend.remet vnd.ord",
     "Vnd.mer.adq.rec.ter.rem.ind.cnt.o.adq.tra.est.adq.",
     "Vnd.prod.est.rem.ind.cnt.ord.adq.s/ tran.est.adq./ Vnd.mer",
     "Vnd.prod.est.rem.ind.cnt.ord.adq.s/ tran.est.adq.",
-    "Venda produção do estabelecimento / Venda merc.adq.receb.de",
+    "Venda produção do estabelecimento /  Venda merc.adq.receb.de",
 )
 TRANSFER_OPERATION = "Transferência produção estabelecimento"
 SNAPSHOT_MATERIAL_TYPES = ("HALB", "FERT", "LEIH", "VERP")

@@ -127,3 +127,8 @@ def test_charge_share_is_exact(spark):
     share = fn.charge_share(F.col("v"), F.col("p"), F.col("q"))
     got = values(spark, "v decimal(18,2), p decimal(7,2), q decimal(7,2)", rows, share)
     assert got == [Decimal("19.96995000000000"), Decimal("0E-14")]
+
+
+def test_strip_prefix_keeps_long_texts_whole(spark):
+    df = spark.range(1).select(F.concat(F.lit("NC "), F.repeat(F.lit("x"), (1 << 20) + 5)).alias("t"))
+    assert df.select(F.length(fn.strip_prefix(F.col("t"), ("NC ",))).alias("n")).first().n == (1 << 20) + 5

@@ -45,6 +45,7 @@ def test_sources_from_catalog(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark, stored):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     src = Sources.from_parquet(spark, stored)
     plan = transit.ledger(src, LEDGER_AS_OF)._jdf.queryExecution().executedPlan().toString()
     heads = next(line for line in plan.splitlines() if "bkpf.parquet" in line)
