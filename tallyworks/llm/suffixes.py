@@ -6,8 +6,8 @@ are indexed, about one in ``length / 3`` bytes. A suffix array here is a written
 the order of their fingerprints: of all orders, the scans only need one in which equal prefixes are
 neighbours. Batches of documents get arrays; a new array is merge-scanned against every level of the
 family for matching prefixes; levels of equal size merge, so each suffix is rewritten a logarithmic
-number of times. Suffixes matched in a scan are then compared as whole runs of windows, and where runs
-differ, window by window on their bytes.
+number of times. Suffixes matched in a scan are then compared as whole runs of windows, where runs differ
+by blocks of windows, and where blocks overlap in part, window by window on their bytes.
 """
 
 from __future__ import annotations
@@ -20,14 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import staged, whole_groups
+from tallyworks.llm.shared import staged
 from tallyworks.operators.skew import group_apart
 
 #: Positions are stored with the run's two distances, of 16 bits each, in one long.
 _PACK = 16
-#: Runs of one prefix that a single task compares, about 10 MB of text and 33 MB of fingerprints; the windows of
-#: more runs are dealt out one by one.
-MANY_RUNS = 16_384
 #: Windows fingerprinted by one call.
 _CHUNK = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -132,22 +129,18 @@ class SuffixFamily:
         return found.select(F.struct("prefix").alias("k")).distinct().select("k.prefix")
 
 
-def _window_prints(data: bytes, length: int) -> np.ndarray:
-    """128-bit fingerprints of all windows."""
-    h = xxhash.xxh3_128_digest
-    view = memoryview(data)
-    return np.frombuffer(b"".join([h(view[i : i + length]) for i in range(len(data) - length + 1)]), "S16")
-
-
 def repeated_windows(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """(prefix, run, low, high): ranges of starts in a run, from its first, whose windows other runs have too.
 
-    ``runs`` has one place (doc, at) of each distinct run of an anchor prefix that has several, and their
-    number, ``kinds``. Their bytes are fetched and all their windows sorted by fingerprint, where equal
-    windows are neighbours: within a task for the runs of one prefix, or by the cluster for a prefix
-    with very many runs, such as the edge of a passage that a third of all texts share.
+    ``runs`` has one place (doc, at) of each distinct run of an anchor prefix that has several. Equal windows
+    lie at the same distance from their anchor, so the windows of a run are cut into blocks by that distance.
+    All windows of a block contain its core, and all lie in its hull, as far as the run has them: blocks with
+    equal hulls repeat each other whole, and blocks whose cores differ share no window. Only where one core has
+    several hulls are the windows themselves compared, once for each hull. Every step is a count by
+    fingerprint, the same for a prefix of two runs and for one that a third of all texts share.
     """
-    wanted = runs.groupBy(F.struct("doc").alias("k")).agg(F.collect_list(F.struct("prefix", "run", "at", "kinds")).alias("runs"))
+    step = max(1, min(16, length // 4))
+    wanted = runs.groupBy(F.struct("doc").alias("k")).agg(F.collect_list(F.struct("prefix", "run", "at")).alias("runs"))
     texts = docs.join(wanted.select(F.col("k.doc").alias("doc"), "runs"), "doc").select(
         "runs", F.col("text").cast("binary").alias("text")
     )
@@ -155,63 +148,72 @@ def repeated_windows(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found, text in zip(batch.column(0), batch.column(1), strict=True):
-                data, rows = text.as_py(), found.as_py()
+                data = text.as_py()
                 parts = []
-                for r in rows:
-                    anchor, first, last = r["at"] >> (2 * _PACK), (r["at"] >> _PACK) & 0xFFFF, r["at"] & 0xFFFF
-                    parts.append((r["prefix"], r["run"], r["kinds"], data[anchor - first : anchor - last + length]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*parts, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                    ["prefix", "run", "kinds", "data"],
-                )
+                for r in found.as_py():
+                    anchor, far, near = r["at"] >> (2 * _PACK), (r["at"] >> _PACK) & 0xFFFF, r["at"] & 0xFFFF
+                    parts.append((r["prefix"], r["run"], far, near, data[anchor - far : anchor - near + length]))
+                yield _batch(parts, {"prefix": pa.int64(), "run": pa.int64(), "first": pa.int32(), "last": pa.int32(), "data": pa.binary()})
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h = xxhash.xxh3_64_intdigest
+        names = ("core", "hull", "prefix", "run", "first", "near", "far")
+        types = dict(zip(names, [pa.uint64()] * 2 + [pa.int64()] * 2 + [pa.int32()] * 3, strict=True))
+        for batch in batches:
+            parts = []
+            for prefix, run, first, last, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for block in range(last // step, first // step + 1):
+                    near, far = max(last, block * step), min(first, block * step + step - 1)
+                    core = h(data[first - block * step : first - block * step - step + 1 + length], block)
+                    # equal bytes with fewer of the block's windows are another hull
+                    hull = h(data[first - far : first - near + length], near << _PACK | far)
+                    parts.append((core, hull, prefix, run, first, near, far))
+            out = _batch(parts, types)
+            yield pa.RecordBatch.from_arrays([c.view(pa.int64()) if c.type == pa.uint64() else c for c in out.columns], names=list(names))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h = xxhash.xxh3_128_digest
         for batch in batches:
-            for prefix, run, data in zip(*(batch.column(i) for i in range(3)), strict=True):
-                prints = _window_prints(data.as_py(), length).view(np.int64).reshape(-1, 2)
-                n = len(prints)
+            for first, data, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                parts, prints = [], []
+                for b in blocks:
+                    for j in range(b["near"], b["far"] + 1):
+                        prints.append(h(data[first - j : first - j + length]))
+                        parts.append((b["core"], b["hull"], 1 << (j % step)))
+                both = np.frombuffer(b"".join(prints), np.int64).reshape(-1, 2)
+                rest = _batch(parts, {"core": pa.int64(), "hull": pa.int64(), "mask": pa.int32()})
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.ascontiguousarray(prints[:, 0])),
-                        pa.array(np.ascontiguousarray(prints[:, 1])),
-                        pa.array([prefix.as_py()] * n, pa.int64()),
-                        pa.array([run.as_py()] * n, pa.int64()),
-                        pa.array(np.arange(n, dtype=np.int32)),
-                    ],
-                    ["w0", "w1", "prefix", "run", "low"],
+                    [pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1])), *rest.columns],
+                    names=["w0", "w1", *rest.schema.names],
                 )
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["prefix"]):
-            prefix, run, data = table.column("prefix").to_numpy(), table.column("run").to_numpy(), table.column("data")
-            prints = [_window_prints(d.as_py(), length) for d in data]
-            sizes = np.array([len(p) for p in prints])
-            all_prints = np.concatenate(prints).view(np.int64).reshape(-1, 2)
-            # equal windows share their anchor's prefix, so sorting all tables' windows together is enough
-            order = np.lexsort((all_prints[:, 1], all_prints[:, 0]))
-            ranked = all_prints[order]
-            same = np.flatnonzero((ranked[1:] == ranked[:-1]).all(axis=1))
-            repeated = np.zeros(len(order) + 1, np.int8)
-            repeated[order[same]] = repeated[order[same + 1]] = 1
-            at = np.cumsum(sizes) - sizes
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            begins = np.flatnonzero((repeated[:-1] == 1) & (np.concatenate([[True], owner[1:] != owner[:-1]]) | (np.concatenate([[0], repeated[:-2]]) == 0)))
-            ends = np.flatnonzero((repeated[:-1] == 1) & (np.concatenate([owner[1:] != owner[:-1], [True]]) | (repeated[1:] == 0)))
-            of = owner[begins]
-            if len(of):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefix[of]), pa.array(run[of]), pa.array((begins - at[of]).astype(np.int32)), pa.array((ends - at[of]).astype(np.int32))],
-                    ["prefix", "run", "low", "high"],
-                )
-
-    fetched = staged(texts.mapInArrow(fetch, "prefix long, run long, kinds long, data binary"), "suffix-texts", compression="zstd")
-    few = fetched.where(F.col("kinds") <= MANY_RUNS).select("prefix", "run", "data")
-    few = few.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(scan, "prefix long, run long, low int, high int")
-    many = fetched.where(F.col("kinds") > MANY_RUNS).select("prefix", "run", "data")
-    many = many.mapInArrow(windows, "w0 long, w1 long, prefix long, run long, low int")
-    again = group_apart(many, ["w0", "w1"], {"n": F.count("*")}).where("n > 1").select("w0", "w1")
-    many = many.join(again, ["w0", "w1"], "left_semi")
-    return few.unionByName(many.select("prefix", "run", "low", F.col("low").alias("high")))
+    fetched = texts.mapInArrow(fetch, "prefix long, run long, first int, last int, data binary")
+    fetched = staged(fetched, "suffix-texts", compression="zstd")
+    kinds = "core long, hull long, prefix long, run long, first int, near int, far int"
+    blocks = staged(fetched.mapInArrow(cut, kinds), "suffix-blocks")
+    hulls = blocks.groupBy("core", "hull").agg(
+        F.count("*").alias("n"), F.min(F.struct("prefix", "run", "near", "far")).alias("place")
+    )
+    hulls = staged(hulls, "suffix-hulls")
+    several = group_apart(hulls, ["core"], {"kinds": F.count("*")}).where("kinds > 1").select("core")
+    mixed = hulls.join(several, "core").select("core", "hull", "place.*")
+    mixed = mixed.groupBy("prefix", "run").agg(F.collect_list(F.struct("core", "hull", "near", "far")).alias("blocks"))
+    single = fetched.join(mixed, ["prefix", "run"]).select("first", "data", "blocks")
+    single = staged(single.mapInArrow(windows, "w0 long, w1 long, core long, hull long, mask int"), "suffix-windows")
+    again = group_apart(single, ["w0", "w1"], {"n": F.count("*")}).where("n > 1").select("w0", "w1")
+    marks = single.join(again, ["w0", "w1"], "left_semi").select("core", "hull", "mask")
+    marks = marks.unionByName(hulls.where("n > 1").select("core", "hull", F.lit(-1).alias("mask")))
+    marks = group_apart(marks, ["core", "hull"], {"mask": F.bit_or("mask")})
+    whole = F.array(F.struct((F.col("first") - F.col("far")).alias("low"), (F.col("first") - F.col("near")).alias("high")))
+    repeated = F.filter(F.sequence("near", "far"), lambda j: F.getbit("mask", j % step) == 1)
+    some = F.transform(repeated, lambda j: F.struct((F.col("first") - j).alias("low"), (F.col("first") - j).alias("high")))
+    found = blocks.join(marks, ["core", "hull"])
+    return found.select("prefix", "run", F.inline(F.when(F.col("mask") == -1, whole).otherwise(some)))
+
+
+def _batch(rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -241,7 +243,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4) -> Data
         rows.groupBy("prefix", "run").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("place")), "suffix-runs"
     )
     several = group_apart(runs, ["prefix"], {"kinds": F.count("*")}).where("kinds > 1")
-    places = runs.join(several, "prefix").select("prefix", "run", "kinds", "place.doc", "place.at")
+    places = runs.join(several, "prefix").select("prefix", "run", "place.doc", "place.at")
     partial = repeated_windows(places, docs, length)
     ranges = partial.unionByName(
         runs.where("n > 1").select("prefix", "run", F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"))
