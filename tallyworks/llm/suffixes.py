@@ -216,14 +216,20 @@ def _batch(rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def _merged(column: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
+    """The disjoint, ordered spans that each row's ranges cover; none for a null."""
+    cut, ranges = column.offsets.to_numpy(), column.values
+    lows, highs = ranges.field(0).to_numpy(), ranges.field(1).to_numpy()
+    for i, given in enumerate(column.is_valid().to_pylist()):
+        low, high = lows[cut[i] : cut[i + 1]], highs[cut[i] : cut[i + 1]]
+        if not given or not len(low):
+            yield []
+            continue
+        order = np.argsort(low)
+        low, high = low[order], np.maximum.accumulate(high[order])
+        begins = np.flatnonzero(np.concatenate([[True], low[1:] > high[:-1]]))
+        ends = np.concatenate([begins[1:], [len(low)]]) - 1
+        yield list(zip(low[begins].tolist(), high[ends].tolist(), strict=True))
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4) -> DataFrame:
@@ -282,9 +288,8 @@ def repeat_digests(docs: DataFrame, length: int = 400, batches: int = 4) -> Data
     def work(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
             out: list[list] = [[], [], [], []]
-            for text, spans in zip(batch.column(1), batch.column(2), strict=True):
+            for text, gone in zip(batch.column(1), _merged(batch.column(2)), strict=True):
                 data = text.as_py() or b""
-                gone = _merged([(s["low"], s["high"]) for s in spans.as_py() or []])
                 kept, last = hashlib.sha256(), 0
                 view = memoryview(data)
                 for a, b in gone:
@@ -313,13 +318,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, batches: int = 4) -> Data
     def work(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
             texts = []
-            for text, spans in zip(batch.column(batch.schema.get_field_index("text")), batch.column(batch.num_columns - 1), strict=True):
-                data, gone = text.as_py(), spans.as_py()
+            spans = _merged(batch.column(batch.num_columns - 1))
+            for text, gone in zip(batch.column(batch.schema.get_field_index("text")), spans, strict=True):
+                data = text.as_py()
                 if data is None or not gone:
                     texts.append(data)
                     continue
                 raw, parts, last = data.encode(), [], 0
-                for a, b in _merged([(s["low"], s["high"]) for s in gone]):
+                for a, b in gone:
                     while a < b and raw[a] & 0xC0 == 0x80:
                         a += 1
                     while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
