@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import language, licenses, mixing, multiindex, packing, simhash, sketches, suffixes, tokenfile, warc
+from tallyworks.llm import language, licenses, manifest, mixing, multiindex, packing, pagediff, periodic, simhash, sketches, suffixes, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.page_digest(_read(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(_read(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proof_digest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,6 +87,9 @@ QUERIES: dict[str, Query] = {
         op8_licenses,
         op9_warc,
         op10_packing,
+        op11_page_text,
+        op12_periodic_runs,
+        op13_manifest,
     )
 }
-ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op13_manifest": manifest.ORACLE}
