@@ -13,7 +13,8 @@ from tallyworks.llm.shared import staged
 def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], label: str) -> DataFrame:
     """Adds ``idx``, a row's number from 0 in the order of its group, and ``n``, the rows of its group.
 
-    Group columns hold no nulls; in ``order`` nulls come first. ``rows`` should read a stored table, as it is read twice.
+    Group columns hold no nulls; in ``order`` nulls come first. ``rows`` is read twice, so it
+    should be a stored table or come from an exchange.
     Rows are dealt out by ranges of (group, order) and stored as they are sorted; then only the counts
     of each task's groups are summed. Equal rows are dealt out by where they were read, so that any number of them can be
     spread over several tasks.

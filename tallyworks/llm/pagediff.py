@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.markup import FURNITURE, MAIN, page_lines
 from tallyworks.llm.order import numbered
-from tallyworks.llm.shared import staged
 
 #: Pages in a row that one task pairs before others may go on; the first and last go along with the rows beside them.
 STRETCH = 256
@@ -208,7 +207,8 @@ def page_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("key", _page_key())
-    numbers = staged(_line_numbers(rows).dropDuplicates(["key"]), "page-lines")
+    # copies of a page go together by an exchange, which also spares the sort's two passes from parsing twice
+    numbers = _line_numbers(rows).dropDuplicates(["key"])
     # grouped by a struct so that the join keeps its exchanges, and can split a row that repeats very often
     shared = shared_lines(numbers).groupBy(F.struct("key").alias("_key")).agg(F.first("shared").alias("shared")).select("_key.key", "shared")
     texts = rows.select("page_id", "url", "key", "html").mapInArrow(
