@@ -157,6 +157,26 @@ def match_with_fallback(
     return fallback_pairs(left, right, primary, fallback).select(*columns).distinct()
 
 
+def two_key_pairs(
+    left: DataFrame, right: DataFrame, primary: Mapping[str, str], fallback: Mapping[str, str]
+) -> DataFrame:
+    """Partners by either key, a row for each key and partner, with marks.
+
+    Adds ``by_primary``, which key the row is for, and ``found``, whether it has a partner; a row of ``left`` without
+    one by a key has one row for that key, with NULL partner columns. A NULL in a key matches nothing.
+    Each key is looked up once, and who has no partner, the partners by the first key and those by the second
+    are all read from the result. The sides' columns must differ in name.
+    """
+
+    def by(on: Mapping[str, str], first: bool) -> DataFrame:
+        marked = right.withColumn("found", F.lit(True))
+        cond = reduce(and_, [F.col(f"a.{l}") == F.col(f"b.{r}") for l, r in on.items()])
+        joined = left.alias("a").join(marked.alias("b"), cond, "left")
+        return joined.withColumns({"found": F.coalesce("found", F.lit(False)), "by_primary": F.lit(first)})
+
+    return by(primary, True).unionByName(by(fallback, False))
+
+
 def consolidate(df: DataFrame, keep: Column, columns: Sequence[str | Column]) -> DataFrame:
     """Distinct report rows passing ``keep``: one exchange for all nested unions."""
     return df.filter(keep).select(*columns).distinct()

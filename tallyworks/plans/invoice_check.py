@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import access_key, outside_tolerance, parse_yyyymmdd
-from tallyworks.operators.membership import anti, mark_in
-from tallyworks.operators.reconcile import consolidate, fallback_pairs
+from tallyworks.operators.reconcile import two_key_pairs
+from tallyworks.operators.skew import group_apart
 from tallyworks.operators.validate import Rule, status_verdict, validate
 from tallyworks.session import stage
 from tallyworks.sources import Sources
@@ -50,7 +50,7 @@ TAX = (
     "tax_number",
     "tax_issue_date",
 )
-LINE = ("item_value", "freight", "insurance", "discount", "other_cost", "line_item")
+LINE = ("item_value", "freight", "insurance", "discount", "other_cost")
 OUTPUT = (
     "doc_num",
     "center",
@@ -104,8 +104,8 @@ def tax_feed(src: Sources, as_of: dt.date) -> DataFrame:
     )
 
 
-def ledger_feed(src: Sources, as_of: dt.date) -> DataFrame:
-    """Incoming invoice lines of the ledger system with the plant contact."""
+def ledger_headers(src: Sources, as_of: dt.date) -> DataFrame:
+    """Incoming invoices of the ledger system with access key and plant contact, and how often each occurs."""
     posted = parse_yyyymmdd(F.col("pstdat"))
     docs = (
         src.client_table("j_1bnfdoc")
@@ -133,26 +133,37 @@ def ledger_feed(src: Sources, as_of: dt.date) -> DataFrame:
     keys = src.client_table("j_1bnfe_active").select(
         F.col("docnum").alias("doc_num"), access_key(*[F.col(p) for p in parts]).alias("access_key")
     )
-    lines = src.client_table("j_1bnflin").select(
+    contacts = src.table("sa_excel_tax_plant_xref").select(
+        F.col("cnpj").alias("own_tax_id"), F.col("centro").alias("center"), "email"
+    )
+    joined = docs.join(keys, "doc_num", "left").join(contacts, "own_tax_id", "left")
+    return joined.groupBy(*HEADER).agg(F.count(F.lit(1)).alias("times"))
+
+
+def ledger_lines(src: Sources) -> DataFrame:
+    """Values of the invoice lines of the ledger system."""
+    return src.client_table("j_1bnflin").select(
         F.col("docnum").alias("doc_num"),
         F.col("netwr").alias("item_value"),
         F.col("nffre").alias("freight"),
         F.col("nfins").alias("insurance"),
         F.col("nfdis").alias("discount"),
         F.col("nfoth").alias("other_cost"),
-        F.substring("itmnum", 3, 3).alias("line_item"),
-    )
-    contacts = src.table("sa_excel_tax_plant_xref").select(
-        F.col("cnpj").alias("own_tax_id"), F.col("centro").alias("center"), "email"
-    )
-    return (
-        docs.join(keys, "doc_num", "left")
-        .join(contacts, "own_tax_id", "left")
-        .join(lines, "doc_num")
-        .select(*HEADER, *LINE)
     )
 
 
+def with_totals(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """Headers with the totals of their invoice's lines; headers without a line are dropped.
+
+    A line stands under each header of its invoice, once for each time that header occurs. So lines
+    are summed per invoice and the sums multiplied, and lines and headers aren't joined before.
+    """
+    sums = {f"{c}_total": F.sum(c) for c in ("freight", "insurance", "discount")} | {"other_total": F.sum("other_cost")}
+    totals = group_apart(lines, ["doc_num"], sums)
+    joined = headers.join(totals, "doc_num")
+    return joined.withColumns({name: F.col(name) * F.col("times") for name in sums}).drop("times")
+
+
 def invoice_rules() -> list[Rule]:
     """The sixteen rules in report order. An unknown comparison breaks no rule."""
     c = F.col
@@ -190,48 +201,50 @@ def invoice_rules() -> list[Rule]:
     ]
 
 
-def header_errors(lines: DataFrame, tax: DataFrame) -> DataFrame:
-    """One row per invoice and tax-system partner with its broken rules."""
-    headers = lines.groupBy(*HEADER).agg(
-        F.sum("freight").alias("freight_total"),
-        F.sum("insurance").alias("insurance_total"),
-        F.sum("discount").alias("discount_total"),
-        F.sum("other_cost").alias("other_total"),
-    )
-    by_key = anti(headers.select("doc_num", "access_key"), tax, {"access_key": "tax_access_key"})
-    by_number = anti(
-        headers.select("doc_num", "number", "issuer_tax_id"),
-        tax,
-        {"number": "tax_number", "issuer_tax_id": "tax_issuer_id"},
+def header_verdicts(pairs: DataFrame) -> DataFrame:
+    """Status and message of each invoice and access key, by its headers' partners of the primary key.
+
+    ``pairs`` are those of :func:`two_key_pairs`. An invoice is missing by a key if any of its
+    headers has no partner by it, which is a maximum of the pairs' marks.
+    """
+    marks = group_apart(
+        pairs,
+        ["doc_num"],
+        {
+            "missing_by_key": F.max(F.col("by_primary") & ~F.col("found")),
+            "missing_by_number": F.max(~F.col("by_primary") & ~F.col("found")),
+        },
     )
-    marked = mark_in(headers, "doc_num", by_key, "doc_num", "missing_by_key")
-    marked = mark_in(marked, "doc_num", by_number, "doc_num", "missing_by_number")
-    pairs = marked.join(tax, F.col("access_key") == F.col("tax_access_key"), "left")
-    checked = validate(pairs, invoice_rules())
+    checked = validate(pairs.filter("by_primary").join(marks, "doc_num"), invoice_rules())
     not_loaded = (F.col("error_13") == 1) & (F.col("error_16") == 0)
-    return checked.withColumn("status", status_verdict(not_loaded, F.col("error_count"), const.INVOICE_STATUS))
+    status = status_verdict(not_loaded, F.col("error_count"), const.INVOICE_STATUS)
+    return checked.select("doc_num", "access_key", status.alias("status"), "message").distinct()
 
 
 def invoice_check(src: Sources, as_of: dt.date, reuse: bool = True) -> DataFrame:
     """Invoice lines with their tax-system partner, status and messages.
 
-    Partners are looked up by access key, and by number and issuer. The lines feed the
-    rules and both look-ups, so with ``reuse`` they are written once and read back.
+    Partners are looked up by access key, and by number and issuer, once each and for headers only: these pairs give the
+    marks of missing invoices, the rules' partners and the listed partners. With ``reuse`` the tax system's
+    invoices, the headers and the pairs are written once and read back. Lines come last. What they are joined with and
+    they themselves are made distinct before, each by its own columns, and so is the result.
     """
-    tax, lines = tax_feed(src, as_of), ledger_feed(src, as_of)
-    if reuse:
-        tax, lines = stage(tax, "tax"), stage(lines, "invoice-lines")
-    verdicts = header_errors(lines, tax).select("doc_num", "access_key", "status", "message").distinct()
-    judged = lines.join(verdicts, ["doc_num", "access_key"])
-    pairs = fallback_pairs(
-        judged,
-        tax,
-        {"access_key": "tax_access_key"},
-        {"number": "tax_number", "issuer_tax_id": "tax_issuer_id"},
+    keep = stage if reuse else (lambda df, _: df)
+    lines = ledger_lines(src)
+    tax = keep(tax_feed(src, as_of), "tax")
+    headers = keep(with_totals(ledger_headers(src, as_of), lines), "invoice-headers")
+    pairs = keep(
+        two_key_pairs(
+            headers, tax, {"access_key": "tax_access_key"}, {"number": "tax_number", "issuer_tax_id": "tax_issuer_id"}
+        ),
+        "invoice-pairs",
     )
-    keep = (
+    known = [c for c in OUTPUT if c not in (*LINE, "status", "message")]
+    partners = pairs.filter(F.col("by_primary") | F.col("found")).select(*known).distinct()
+    listed = (
         F.col("tax_access_key").isNotNull()
         | (F.col("status") == const.INVOICE_STATUS[0])
         | (F.length("access_key") < 44)
     )
-    return consolidate(pairs, keep, OUTPUT)
+    judged = partners.join(header_verdicts(pairs), ["doc_num", "access_key"]).filter(listed)
+    return judged.join(lines.distinct(), "doc_num").select(*OUTPUT)

@@ -1,6 +1,8 @@
 """Reports over stored tables: sources, pushdown, options and agreement between variants."""
 
 import datetime as dt
+import importlib
+import re
 from collections import Counter
 
 import pytest
@@ -8,10 +10,12 @@ from pyspark.sql import functions as F
 
 from checks.adapters import AS_OF, LEDGER_AS_OF, TABLES, adapted, on_spark
 from tallyworks import plans
+from tallyworks.operators import reconcile
 from tallyworks.plans import labels, transit
 from tallyworks.plans.cost_overview import cost_overview
 from tallyworks.session import shared_dir, stage
 from tallyworks.sources import Sources, inline
+from tallyworks.sources import constants as const
 from tallyworks.sources.tables import snake
 
 
@@ -144,3 +148,81 @@ def test_labels_cover_the_reports(spark, sf_dir):
 
 def test_adapters_use_no_cross_join():
     assert not [n for n, sql in TABLES.items() if "CROSS JOIN" in sql]
+
+
+@pytest.fixture(scope="module")
+def invoices(spark, sf_dir, tmp_path_factory):
+    root = tmp_path_factory.mktemp("invoices")
+    for name in ("sa_g3p_invoices", "j_1bnfdoc", "j_1bnfe_active", "j_1bnflin", "sa_excel_tax_plant_xref"):
+        on_spark(spark, sf_dir, f"SELECT * FROM {name}").write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
+def written_plans(monkeypatch, module):
+    """Plans of everything that a report module stages."""
+    seen = []
+
+    def recorded(df, label):
+        seen.append(df)
+        return stage(df, label)
+
+    monkeypatch.setattr(module, "stage", recorded)
+    return seen
+
+
+def scans(dfs, table):
+    texts = [df._jdf.queryExecution().executedPlan().toString() for df in dfs]
+    return sum(len(re.findall(rf"FileScan parquet.*/{table}[-.]", text)) for text in texts)
+
+
+def test_invoice_check_reads_lines_and_tax_few_times(spark, invoices, monkeypatch):
+    module = importlib.import_module("tallyworks.plans.invoice_check")
+    seen = written_plans(monkeypatch, module)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    result = plans.invoice_check(Sources.from_parquet(spark, invoices), dt.date(1998, 6, 1))
+    everything = [*seen, result]
+    assert len(seen) == 3
+    assert scans(everything, "j_1bnflin") == 2
+    assert scans(everything, "sa_g3p_invoices") == 1 and scans(everything, "tax") == 2
+    assert scans(everything, "invoice-headers") == 2
+
+
+def test_invoice_check_with_repeated_headers_and_lines(spark):
+    """An invoice with two keys and a contact listed twice: totals, marks and partners by plain loops."""
+    check = importlib.import_module("tallyworks.plans.invoice_check")
+    key = "".join(str(i % 10) for i in range(44))
+    base = {c: None for c in check.HEADER}
+    headers, lines, tax = [], [], []
+    for doc, keys in (("d1", [key, "short"]), ("d2", [key]), ("d3", [None]), ("d4", [""]), ("d5", [key[::-1]])):
+        for k in keys:
+            headers.append(base | {"doc_num": doc, "access_key": k, "number": doc, "issuer_tax_id": "i", "times": 2 if doc == "d2" else 1})
+        lines += [(doc, 10.0, 1.0), (doc, 10.0, 1.0), (doc, 11.0, 0.5)]
+    lines.append(("none", 1.0, 1.0))
+    kinds = ", ".join(f"{c} string" for c in check.HEADER) + ", times long"
+    h = spark.createDataFrame([tuple(r[c] for c in (*check.HEADER, "times")) for r in headers], kinds)
+    h = h.withColumns({"total_value": F.lit(5).cast("decimal(13,2)")} | {c: F.lit(dt.date(2024, 1, 1)) for c in ("issue_date", "posting_date", "creation_date")})
+    li = spark.createDataFrame(lines, "doc_num string, v double, f double").select(
+        "doc_num", *[F.col("f" if c == "freight" else "v").cast("decimal(13,2)").alias(c) for c in check.LINE]
+    )
+    totals = {r.doc_num: r.freight_total for r in check.with_totals(h, li).collect()}
+    assert {k: float(v) for k, v in totals.items()} == {"d1": 2.5, "d2": 5.0, "d3": 2.5, "d4": 2.5, "d5": 2.5}
+    for k, number, freight in ((key, "x", 2.5), ("other", "d1", 0.0), ("", "zz", 1.0), ("", "yy", 1.0)):
+        tax.append((k, number, "i", freight))
+    t = spark.createDataFrame(tax, "tax_access_key string, tax_number string, tax_issuer_id string, tax_freight double")
+    missing = [c for c in check.TAX if c not in t.columns]
+    t = t.withColumns({c: F.lit(None).cast("date" if "date" in c else "decimal(13,2)" if c.split("_")[1] in ("insurance", "discount", "other", "total") else "string") for c in missing})
+    t = t.withColumn("tax_freight", F.col("tax_freight").cast("decimal(13,2)"))
+    pairs = reconcile.two_key_pairs(
+        check.with_totals(h, li), t, {"access_key": "tax_access_key"}, {"number": "tax_number", "issuer_tax_id": "tax_issuer_id"}
+    )
+    by = Counter((r.doc_num, r.access_key, r.by_primary, r.tax_number) for r in pairs.collect())
+    expected = Counter()
+    for r in headers:
+        for first, hits in ((True, [x for x in tax if x[0] == r["access_key"]]), (False, [x for x in tax if x[1] == r["number"]])):
+            expected.update([(r["doc_num"], r["access_key"], first, x[1]) for x in hits] or [(r["doc_num"], r["access_key"], first, None)])
+    assert by == expected
+    verdicts = {(r.doc_num, r.access_key): r.status for r in check.header_verdicts(pairs).collect()}
+    bad, wrong, right = const.INVOICE_STATUS
+    assert verdicts[("d1", key)] == right  # one of its keys is missing, but its number is known
+    assert verdicts[("d2", key)] == wrong  # the contact's repeat doubles its freight
+    assert verdicts[("d5", key[::-1])] == bad and verdicts[("d4", "")] == wrong and verdicts[("d1", "short")] == wrong
