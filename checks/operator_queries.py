@@ -11,6 +11,7 @@ from checks.registry import register
 from checks.sqltext import div0, final, qty
 from tallyworks import functions as fn
 from tallyworks.operators import allocate, membership, reconcile, reshape, spine, validate
+from tallyworks.session import stage
 from tallyworks.sources import inline
 
 AS_OF = dt.date(1998, 1, 1)
@@ -271,8 +272,10 @@ def _conditions(spark, sf):
     final(
         f"""WITH {L}, k AS (SELECT l_orderkey, l_linenumber, 'TAX' AS kind, tax AS value FROM li
         UNION ALL SELECT l_orderkey, l_linenumber, 'DISC', disc FROM li WHERE disc > 0)
-    SELECT a.l_orderkey, a.l_linenumber, a.value AS tax_rate, b.value AS disc_rate FROM k a
-    JOIN k b ON b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber AND b.kind = 'DISC' WHERE a.kind = 'TAX'""",
+    , lists AS (SELECT l_orderkey, l_linenumber, list(value) FILTER (WHERE kind = 'TAX') AS taxes,
+        list(value) FILTER (WHERE kind = 'DISC') AS discs FROM k GROUP BY 1, 2),
+    each_tax AS (SELECT l_orderkey, l_linenumber, unnest(taxes) AS tax_rate, discs FROM lists)
+    SELECT l_orderkey, l_linenumber, tax_rate, unnest(discs) AS disc_rate FROM each_tax""",
         numbers=["tax_rate", "disc_rate"],
     )
 )
@@ -923,12 +926,13 @@ def c_net_tolerance(spark, sf):
     return reconcile.net_to_zero(ledger(spark, sf), "text", "amount", tol="0.1", verdict="verdict")
 
 
-def _stages(spark, sf):
-    led = ledger(spark, sf)
-    return [
-        (reconcile.net_to_zero(led, "reference", "amount", verdict="verdict"), "Reference"),
-        (reconcile.net_to_zero(led, "text", "amount", tol="0.1", verdict="verdict"), "Text"),
+def _stacked(spark, sf):
+    rules = [
+        reconcile.ClearingRule("Reference", F.col("reference")),
+        reconcile.ClearingRule("Text", F.col("text"), tol="0.1"),
     ]
+    judged = reconcile.judge_by_rules(ledger(spark, sf), rules, "amount", "verdict", "rule").drop("rule_no")
+    return stage(judged, "clearing")
 
 
 _STAGED = f"{LEDGER}, {_BY_REF}, {_BY_TEXT}, s AS (SELECT *, 'Reference' AS rule FROM r UNION ALL SELECT *, 'Text' FROM t)"
@@ -940,25 +944,32 @@ _STAGED = f"{LEDGER}, {_BY_REF}, {_BY_TEXT}, s AS (SELECT *, 'Reference' AS rule
     )
 )
 def c_staged_clearing(spark, sf):
-    cleared, still_open = reconcile.staged_clearing(_stages(spark, sf), "verdict", "rule")
+    cleared, still_open = reconcile.staged_clearing(_stacked(spark, sf), "verdict")
     return cleared.withColumn("half", F.lit("cleared")).unionByName(still_open.withColumn("half", F.lit("open")))
 
 
 @query(
     final(
-        f"""WITH {_STAGED} SELECT * FROM s WHERE verdict <> 'ZERO' AND doc || '/' || line NOT IN
-        (SELECT doc || '/' || line FROM s WHERE verdict = 'ZERO')""",
+        f"""WITH {_STAGED}, k AS (SELECT *, max(CASE WHEN verdict = 'ZERO' THEN 1 ELSE 0 END) OVER (PARTITION BY doc, line) AS hit
+        FROM s) SELECT * EXCLUDE (hit) FROM k WHERE hit = 0""",
         numbers=["amount"],
     )
 )
 def c_uncleared(spark, sf):
-    cleared, still_open = reconcile.staged_clearing(_stages(spark, sf), "verdict", "rule")
+    cleared, still_open = reconcile.staged_clearing(_stacked(spark, sf), "verdict")
     mark = F.concat(F.col("doc").cast("string"), F.lit("/"))
     return reconcile.uncleared(
         still_open.withColumn("d", mark), cleared.withColumn("d", mark), ["d", "line"]
     ).drop("d")
 
 
+@query(
+    f"""WITH {_STAGED} SELECT doc FROM s GROUP BY doc HAVING count(*) FILTER (WHERE verdict = 'ZERO') = 0"""
+)
+def c_uncleared_keys(spark, sf):
+    return reconcile.uncleared_keys(_stacked(spark, sf), ["doc"], "verdict")
+
+
 # --- invoices -----------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -40,18 +41,57 @@ def net_to_zero(
     return (df if rows is None else rows).join(verdicts, key)
 
 
-def stack_stages(stages: Sequence[tuple[DataFrame, str]], rule: str = "balance_type") -> DataFrame:
-    """Rows of several clearing rules, labelled with the rule."""
-    tagged = [df.withColumn(rule, F.lit(label)) for df, label in stages]
-    return reduce(DataFrame.unionByName, tagged)
+@dataclass(frozen=True)
+class ClearingRule:
+    """Rows with equal ``key`` are cleared if their amounts sum to 0, give or take ``tol``.
+
+    ``counts`` says which rows are summed, ``shown`` which of these get the verdict; by default all.
+    Rows without a key take no part.
+    """
+
+    label: str
+    key: Column
+    counts: Column | None = None
+    shown: Column | None = None
+    tol: str | None = None
 
 
-def staged_clearing(
-    stages: Sequence[tuple[DataFrame, str]], verdict: str = "balance_result", rule: str = "balance_type"
-) -> tuple[DataFrame, DataFrame]:
-    """Stack the verdicts of several rules; return the cleared and the open rows."""
-    stacked = stack_stages(stages, rule)
-    return stacked.filter(F.col(verdict) == "ZERO"), stacked.filter(F.col(verdict) != "ZERO")
+def judge_by_rules(
+    df: DataFrame,
+    rules: Sequence[ClearingRule],
+    amount: str,
+    verdict: str = "balance_result",
+    rule: str = "balance_type",
+) -> DataFrame:
+    """Each row under each rule that shows it, with the rule's verdict (ZERO or BALANCE), label and ``rule_no``.
+
+    All rules together take one pass: every row is dealt out to its (rule, key) pairs, and one
+    aggregation sums them. The sums are small, and joined back so that a hot key's rows can be split.
+    """
+    yes = F.lit(True)
+    pairs = []
+    for i, r in enumerate(rules):
+        shown = F.coalesce(yes if r.shown is None else r.shown, F.lit(False))
+        counts = r.key.isNotNull() & (yes if r.counts is None else r.counts)
+        pair = F.struct(F.lit(i).alias("no"), r.key.cast("string").alias("key"), shown.alias("shown"))
+        pairs.append(F.when(counts, pair))
+    dealt = df.withColumn("_pair", F.explode(F.array_compact(F.array(*pairs))))
+    dealt = dealt.withColumns({"rule_no": F.col("_pair.no"), "_key": F.col("_pair.key"), "_shown": F.col("_pair.shown")})
+    sums = group_apart(dealt, ["rule_no", "_key"], {"_sum": F.sum(amount)})
+    by_rule = F.col("rule_no")
+    tol, label = F.lit("0").cast("decimal(18,6)"), F.lit(None).cast("string")
+    for i, r in enumerate(rules):
+        tol = tol if r.tol is None else F.when(by_rule == i, F.lit(r.tol).cast("decimal(18,6)")).otherwise(tol)
+        label = F.when(by_rule == i, r.label).otherwise(label)
+    judged = dealt.filter("_shown").join(sums, ["rule_no", "_key"])
+    settled = F.abs(F.col("_sum")) <= tol
+    marks = {verdict: F.when(settled, "ZERO").otherwise("BALANCE"), rule: label}
+    return judged.withColumns(marks).select(*df.columns, verdict, rule, "rule_no")
+
+
+def staged_clearing(judged: DataFrame, verdict: str = "balance_result") -> tuple[DataFrame, DataFrame]:
+    """The cleared and the open rows of rules judged in one pass; store ``judged`` where both are read."""
+    return judged.filter(F.col(verdict) == "ZERO"), judged.filter(F.col(verdict) != "ZERO")
 
 
 def uncleared(open_rows: DataFrame, cleared: DataFrame, keys: Sequence[str]) -> DataFrame:

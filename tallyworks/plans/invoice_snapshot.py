@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tallyworks.functions import (
     remap,
 )
 from tallyworks.operators.membership import in_domain
-from tallyworks.operators.reshape import conditions_wide
+from tallyworks.operators.reshape import combinations, kind_lists
 from tallyworks.session import stage
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
@@ -120,21 +121,39 @@ def _lines(src: Sources, as_of: dt.date, lag: int) -> DataFrame:
     )
 
 
+#: Conditions of an item by list, and the columns read from their combinations.
+LISTS = {
+    "bases": (const.CONDITION_BASE, ["kwert"]),
+    "icms_rows": (const.CONDITION_ICMS, ["kwert", "kbetr"]),
+    "ipi_rows": (const.CONDITION_IPI, ["kwert"]),
+    "pis_rows": (const.CONDITION_PIS, ["kwert"]),
+    "cofins_rows": (const.CONDITION_COFINS, ["kwert"]),
+    "ipi_rate_rows": (const.CONDITION_IPI_RATE, ["kbetr"]),
+}
+TAXES = {t: (f"{t}_rows", "kwert") for t in ("icms", "ipi", "pis", "cofins")}
+RATES = {"icms_rate": ("icms_rows", "kbetr"), "ipi_rate": ("ipi_rate_rows", "kbetr")}
+
+
 def _conditions(src: Sources, lines: DataFrame) -> DataFrame:
-    kinds = (
-        const.CONDITION_BASE,
-        const.CONDITION_ICMS,
-        const.CONDITION_IPI,
-        const.CONDITION_COFINS,
-        const.CONDITION_PIS,
-        const.CONDITION_IPI_RATE,
-    )
+    """The conditions of each invoice item, a list per kind."""
     wanted = lines.select("knumv").filter(F.col("knumv").isNotNull()).distinct()
-    return (
-        in_domain(src.client_table("konv"), "kschl", kinds)
-        .select("knumv", "kposn", "kschl", "kwert", "kbetr")
-        .join(wanted, "knumv", "left_semi")
-    )
+    rows = src.client_table("konv").select("knumv", "kposn", "kschl", "kwert", "kbetr")
+    rows = in_domain(rows, "kschl", [k for k, _ in LISTS.values()]).join(wanted, "knumv", "left_semi")
+    return kind_lists(rows, ["knumv", "kposn"], "kschl", LISTS)
+
+
+def _totals(conditions: DataFrame) -> DataFrame:
+    """Sums of the base and of the combined taxes per invoice; conditions without an item count for the base only."""
+    kwert = conditions.schema["bases"].dataType.elementType["kwert"].dataType
+    none = F.lit(None).cast(kwert)
+    names = ["base", *TAXES]
+
+    def rows(array: Column, given: Sequence[str], field: str | None = None) -> Column:
+        return F.transform(array, lambda x: F.struct(*[(x[field or n] if n in given else none).alias(n) for n in names]))
+
+    taxes = F.when(F.col("kposn").isNotNull(), rows(combinations(TAXES), list(TAXES))).otherwise(F.array())
+    both = conditions.select("knumv", F.explode(F.concat(rows(F.col("bases"), ["base"], "kwert"), taxes)).alias("row"))
+    return both.groupBy("knumv").agg(*[F.sum(f"row.{n}").alias(f"{n}_total") for n in names])
 
 
 def _party(src: Sources, key: str, prefix: str) -> DataFrame:
@@ -155,29 +174,7 @@ def invoice_snapshot(
     keep = stage if reuse else (lambda df, _: df)
     lines = keep(_lines(src, as_of, lag), "snapshot-lines")
     conditions = keep(_conditions(src, lines), "snapshot-conditions")
-
-    item = ["knumv", "kposn"]
-    base = conditions.filter(F.col("kschl") == const.CONDITION_BASE)
-    base_item = base.select(*item, F.col("kwert").alias("base_item"))
-    base_total = base.groupBy("knumv").agg(F.sum("kwert").alias("base_total"))
-    taxes = conditions_wide(
-        conditions,
-        item,
-        "kschl",
-        {
-            "icms": (const.CONDITION_ICMS, "kwert"),
-            "ipi": (const.CONDITION_IPI, "kwert"),
-            "pis": (const.CONDITION_PIS, "kwert"),
-            "cofins": (const.CONDITION_COFINS, "kwert"),
-        },
-    )
-    tax_total = taxes.groupBy("knumv").agg(*[F.sum(t).alias(f"{t}_total") for t in ("icms", "ipi", "pis", "cofins")])
-    rates = conditions_wide(
-        conditions,
-        item,
-        "kschl",
-        {"icms_rate": (const.CONDITION_ICMS, "kbetr"), "ipi_rate": (const.CONDITION_IPI_RATE, "kbetr")},
-    ).select(*item, *[(F.col(r) / 10).cast("decimal(6,2)").alias(r) for r in ("icms_rate", "ipi_rate")])
+    by_invoice = _totals(conditions)
     day_docs = lines.select("docnum").distinct()
     net_total = (
         src.client_table("j_1bnflin")
@@ -200,10 +197,14 @@ def invoice_snapshot(
     df = df.join(_party(src, "stcd1", "transf"), F.col("cgc") == F.col("transf_key"), "left")
     df = df.join(plants, "bwkey", "left").join(_party(src, "kunnr", "emit"), "emit_key", "left")
     df = df.join(net_total, "docnum", "left").join(freight, "modfrete", "left").join(laws, "taxlw1", "left")
-    for part in (base_item, taxes, rates):
-        df = df.join(part.withColumnRenamed("kposn", "refitm"), ["knumv", "refitm"], "left")
-    df = df.join(base_total, "knumv", "left").join(tax_total, "knumv", "left")
+    df = df.join(conditions.withColumnRenamed("kposn", "refitm"), ["knumv", "refitm"], "left")
+    df = df.join(by_invoice, "knumv", "left")
     df = df.join(partners, "refkey", "left").join(carriers, "lifnr", "left")
+    for one, several in (("base", F.col("bases")), ("tax", combinations(TAXES)), ("rate", combinations(RATES))):
+        df = df.withColumn(one, F.explode_outer(several))
+    df = df.withColumn("base_item", F.col("base.kwert")).withColumns(
+        {t: F.col(f"tax.{t}") for t in TAXES} | {r: (F.col(f"rate.{r}") / 10).cast("decimal(6,2)") for r in RATES}
+    )
     return _render(df, compat)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +22,11 @@ from tallyworks.functions import (
     strip_prefix,
 )
 from tallyworks.operators.reconcile import (
+    ClearingRule,
     enrich_or_default,
+    judge_by_rules,
     net_to_zero,
     product_class,
-    stack_stages,
     staged_clearing,
     summarise_by_class,
     tolerant_match,
@@ -211,48 +213,49 @@ SALES_COLUMNS = (
 STAGE_COLUMNS = tuple(c for c in LEDGER_COLUMNS if c != "line_item")
 
 
-def clearing_stages(entries: DataFrame, reuse: bool = False) -> list[tuple[DataFrame, str]]:
-    """Verdicts of the four clearing rules, each on the rows it applies to.
+#: What the clearing rules and the test for open documents look at.
+CLEARING_KEYS = ("comp_code", "document_number", "year_month", "document_type", "reference", "text")
 
-    The first rule's rows feed the second rule twice; ``reuse`` writes them once.
-    """
-    entries = entries.select(*STAGE_COLUMNS)
-    kind = F.col("document_type")
-    amount = "amount_local"
-    by_reference = net_to_zero(
-        entries, "reference", amount, rows=entries.filter(~kind.isin(*const.NOTE_TYPES))
-    )
-    if reuse:
-        by_reference = stage(by_reference, "by-reference")
-    unsettled = by_reference.filter(F.col("balance_result") == "BALANCE")
-    by_text = net_to_zero(
-        unsettled.drop("balance_result"),
-        "text",
-        amount,
-        tol="0.1",
-        rows=by_reference.drop("balance_result"),
-    )
 
-    def notes(types: tuple[str, ...], prefixes: tuple[str, ...]) -> DataFrame:
-        rows = entries.filter(kind.isin(*types)).withColumn("_note", strip_prefix(F.col("reference"), prefixes))
-        return net_to_zero(rows, "_note", amount)
+def clearing_rules() -> list[ClearingRule]:
+    """Rules that look at the whole ledger: by reference, and notes by the reference without its prefix."""
+    kind, reference = F.col("document_type"), F.col("reference")
+
+    def notes(types: Sequence[str], prefixes: Sequence[str]) -> ClearingRule:
+        return ClearingRule("Reference", strip_prefix(reference, prefixes), counts=kind.isin(*types))
 
-    columns = [*STAGE_COLUMNS, "balance_result"]
     return [
-        (by_reference.select(*columns), "Reference"),
-        (by_text.select(*columns), "Text"),
-        (notes(const.CREDIT_TYPES, const.CREDIT_PREFIXES).select(*columns), "Reference"),
-        (notes(const.DEBIT_TYPES, const.DEBIT_PREFIXES).select(*columns), "Reference"),
+        ClearingRule("Reference", reference, shown=~kind.isin(*const.NOTE_TYPES)),
+        notes(const.CREDIT_TYPES, const.CREDIT_PREFIXES),
+        notes(const.DEBIT_TYPES, const.DEBIT_PREFIXES),
     ]
 
 
-def open_ledger_lines(entries: DataFrame, stages: list[tuple[DataFrame, str]]) -> DataFrame:
+def clear(entries: DataFrame, reuse: bool = False) -> DataFrame:
+    """Ledger rows under each clearing rule with its verdict.
+
+    Three rules are judged in one pass. The fourth, by text, sums what the first leaves open and is shown for all rows of the
+    first, so it follows on the first one's rows; ``reuse`` writes these once.
+    """
+    amount = "amount_local"
+    judged = judge_by_rules(entries, clearing_rules(), amount)
+    if reuse:
+        judged = stage(judged, "verdicts")
+    by_reference = judged.filter("rule_no = 0").drop("balance_type", "rule_no")
+    left = by_reference.filter(F.col("balance_result") == "BALANCE").drop("balance_result")
+    by_text = net_to_zero(left, "text", amount, tol="0.1", rows=by_reference.drop("balance_result"))
+    return judged.drop("rule_no").unionByName(by_text.withColumn("balance_type", F.lit("Text")))
+
+
+def open_ledger_lines(entries: DataFrame, reuse: bool = False) -> DataFrame:
     """Ledger lines of the documents with open rows that no rule has cleared.
 
-    Company, document and month are never NULL in the ledger, so the cleared test is one
-    aggregation over the stacked verdicts.
+    The rules only need sums, so they are judged on one row per document, type, reference and
+    text. Company, document and month are never NULL in the ledger, so the cleared test is one
+    aggregation over the verdicts.
     """
-    documents = uncleared_keys(stack_stages(stages), ["comp_code", "document_number", "year_month"])
+    summed = entries.groupBy(*CLEARING_KEYS).agg(F.sum("amount_local").alias("amount_local"))
+    documents = uncleared_keys(clear(summed, reuse), ["comp_code", "document_number", "year_month"])
     return entries.select(*LEDGER_COLUMNS).join(
         distinct_keys(documents, F.col("document_number")), "document_number", "left_semi"
     )
@@ -320,9 +323,8 @@ def transit_tables(
     keep = stage if reuse else (lambda df, _: df)
     entries = keep(ledger(src, as_of), "ledger")
     sold = keep(sales(src, as_of), "sales")
-    stages = clearing_stages(entries, reuse)
-    open_ledger = keep(open_ledger_lines(entries, stages), "open-ledger")
-    cleared, _ = staged_clearing(stages)
+    open_ledger = keep(open_ledger_lines(entries, reuse), "open-ledger")
+    cleared, _ = staged_clearing(clear(entries.select(*STAGE_COLUMNS), reuse))
     totals = sales_totals(sold)
     matched = matched_sales(totals, open_ledger)
     return {
@@ -399,5 +401,5 @@ def transit_reconciliation(src: Sources, as_of: dt.date, reuse: bool = True) ->
     """
     keep = stage if reuse else (lambda df, _: df)
     entries = keep(ledger(src, as_of), "ledger")
-    open_ledger = keep(open_ledger_lines(entries, clearing_stages(entries, reuse)), "open-ledger")
+    open_ledger = keep(open_ledger_lines(entries, reuse), "open-ledger")
     return class_summary(open_ledger, matched_sales(sales_totals(sales(src, as_of)), open_ledger))

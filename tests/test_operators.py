@@ -44,6 +44,18 @@ def test_conditions_with_repeats_give_all_combinations(spark):
     assert got == expected
 
 
+def test_conditions_are_read_once_and_not_joined(spark):
+    data = [(1, "A", 10), (1, "B", 20), (None, "A", 1), (None, "B", 2), (2, "A", None), (2, "B", 5), (2, "B", None), (4, "B", 1)]
+    df = spark.createDataFrame(data, "k int, kind string, v int")
+    wide = reshape.conditions_wide(df, ["k"], "kind", {"a": ("A", "v"), "b": ("B", "v"), "b2": ("B", "v")})
+    assert rows(wide) == Counter([(1, 10, 20, 20), (2, None, 5, 5), (2, None, None, None)])
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 1
+    lists = reshape.kind_lists(df, ["k"], "kind", {"a": ("A", ["v"]), "b": ("B", ["v"])})
+    found = lists.select("k", F.explode(reshape.combinations({"x": ("a", "v"), "y": ("b", "v")})).alias("c")).select("k", "c.*")
+    assert rows(found.filter("k IS NOT NULL")) == rows(wide.drop("b2"))
+
+
 def test_category_columns_ignore_other_categories(spark):
     df = spark.createDataFrame([(1, "x", 5), (1, "y", None), (2, "z", 7)], "k int, c string, v int")
     got = rows(reshape.category_columns(df, ["k"], "c", {"x": "x", "y": "y"}, F.col("v")))
@@ -89,14 +101,30 @@ def test_net_to_zero_and_staged_clearing(spark):
     by_text = reconcile.net_to_zero(df, "text", "amt", tol="0.1")
     assert {r["id"]: r["balance_result"] for r in by_ref.collect()} == {1: "ZERO", 2: "ZERO", 3: "BALANCE", 4: "BALANCE", 6: "BALANCE"}
     assert {r["id"] for r in by_text.filter("balance_result = 'ZERO'").collect()} == {3, 4, 5}
-    columns = ["id", "ref", "text", "amt", "balance_result"]
-    stages = [(by_ref.select(*columns), "Reference"), (by_text.select(*columns), "Text")]
-    cleared, still_open = reconcile.staged_clearing(stages)
+    rules = [reconcile.ClearingRule("Reference", F.col("ref")), reconcile.ClearingRule("Text", F.col("text"), tol="0.1")]
+    judged = reconcile.judge_by_rules(df, rules, "amt")
+    both = by_ref.select(*df.columns, "balance_result", F.lit("Reference")).union(by_text.select(*df.columns, "balance_result", F.lit("Text")))
+    assert rows(judged.drop("rule_no")) == rows(both)
+    cleared, still_open = reconcile.staged_clearing(judged)
     assert cleared.count() + still_open.count() == by_ref.count() + by_text.count()
     left = reconcile.uncleared(still_open, cleared, ["id"])
     assert {r["id"] for r in left.collect()} == {6}
-    keys = reconcile.uncleared_keys(reconcile.stack_stages(stages), ["id"])
-    assert {r["id"] for r in keys.collect()} == {6}
+    assert {r["id"] for r in reconcile.uncleared_keys(judged, ["id"]).collect()} == {6}
+
+
+def test_rules_sum_what_counts_and_show_what_is_asked(spark):
+    data = [("n", "a", 3), ("x", "a", -3), ("x", "b", 1), (None, "b", -1), ("n", None, 4), ("x", None, None), ("x", "c", None)]
+    df = spark.createDataFrame(data, "kind string, key string, amt int").withColumn("amt", F.col("amt").cast("decimal(9,2)"))
+    kind = F.col("kind")
+    rules = [
+        reconcile.ClearingRule("all", F.col("key"), shown=kind != "n"),
+        reconcile.ClearingRule("notes", F.col("key"), counts=kind == "n", tol="3"),
+    ]
+    judged = reconcile.judge_by_rules(df, rules, "amt", "v", "r")
+    got = Counter((r.r, r.kind, r.key, r.v) for r in judged.collect())
+    assert got == Counter([("all", "x", "a", "ZERO"), ("all", "x", "b", "ZERO"), ("all", "x", "c", "BALANCE"), ("notes", "n", "a", "ZERO")])
+    one_pass = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert one_pass.count("Aggregate") == 1
 
 
 def test_uncleared_with_a_null_key_keeps_nothing(spark):

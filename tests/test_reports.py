@@ -83,11 +83,20 @@ def test_ledger_lists_an_item_under_both_kinds(spark, sf_dir):
 
 def test_cleared_and_open_rows_of_one_rule_are_apart(spark, sf_dir):
     entries = transit.ledger(adapted(spark, sf_dir), LEDGER_AS_OF)
-    stage_rows, _ = transit.clearing_stages(entries)[0]
-    per_ref = stage_rows.groupBy("reference").agg(F.countDistinct("balance_result").alias("n"))
+    judged = reconcile.judge_by_rules(entries, transit.clearing_rules(), "amount_local")
+    per_ref = judged.filter("rule_no = 0").groupBy("reference").agg(F.countDistinct("balance_result").alias("n"))
     assert per_ref.filter("n > 1").count() == 0
 
 
+def test_open_documents_are_the_same_from_whole_rows(spark, sf_dir):
+    """Rules judged on one row per document key leave the same documents open as on all ledger rows."""
+    entries = stage(transit.ledger(adapted(spark, sf_dir), LEDGER_AS_OF), "ledger")
+    keys = ["comp_code", "document_number", "year_month"]
+    whole = reconcile.uncleared_keys(transit.clear(entries), keys)
+    documents = {r.document_number for r in whole.collect()}
+    assert documents and {r.document_number for r in transit.open_ledger_lines(entries).collect()} == documents
+
+
 def test_summary_equals_the_sums_of_the_base_rows(spark, sf_dir):
     tables = plans.transit_tables(adapted(spark, sf_dir), LEDGER_AS_OF)
     base = tables["base"].groupBy("product").agg(
