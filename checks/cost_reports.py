@@ -9,15 +9,15 @@ _NEW = "(SELECT max(tco_financial_plan_nm) FROM tco_financial_plan)"
 
 
 def _factor(p: str) -> str:
-    return f"CAST({p} * 0.01 AS DECIMAL(9,6))"
+    return f"({p} * 0.01)"
 
 
 def _share(*pcts: str) -> str:
-    return " * ".join(["CAST(c.tco_cost_value AS DECIMAL(38,2))", *[_factor(f"coalesce({p}, 0)") for p in pcts]])
+    return " * ".join(["c.tco_cost_value", *[_factor(f"coalesce({p}, 0)") for p in pcts]])
 
 
 def _weigh(total: str, pct: str) -> str:
-    return f"CAST({total} AS DECIMAL(38,10)) * {_factor(pct)}"
+    return f"{total} * {_factor(pct)}"
 
 
 BOTH = _share("cca.tco_assignment", "aa.tco_assignment")
@@ -82,7 +82,7 @@ def cost_to_application_sql() -> str:
 def cost_to_center_sql() -> str:
     sql = f"""SELECT {_COST}, cc.tco_capabilityowner, cc.tco_capabilityownername, cca.tco_assignment,
         {_share('cca.tco_assignment')} AS app_assigned_amount,
-        CAST(c.tco_cost_value AS DECIMAL(18,2)) * CAST((100 - coalesce(cca.tco_assignment, 0)) * 0.01 AS DECIMAL(9,6))
+        c.tco_cost_value * ((100 - coalesce(cca.tco_assignment, 0)) * 0.01)
             AS service_assigned_amount,
         CASE WHEN cca.tco_assignment IS NULL THEN 0 ELSE 1 END AS assignment_complete
         {chain(True)} WHERE {_LATEST_COST}"""

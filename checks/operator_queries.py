@@ -494,7 +494,8 @@ def a_two_level(spark, sf):
 )
 def a_factor(spark, sf):
     totals = allocate.subtotal(lines(spark, sf), ["l_suppkey", "l_linenumber"], F.col("price"), "total")
-    return totals.select("l_suppkey", "l_linenumber", allocate.weigh(F.col("total"), F.col("l_linenumber"), 2).alias("weighed"))
+    weighed = allocate.weigh(totals, F.col("total"), F.col("l_linenumber"), 2)
+    return totals.select("l_suppkey", "l_linenumber", weighed.alias("weighed"))
 
 
 @query(
@@ -931,8 +932,7 @@ def _stacked(spark, sf):
         reconcile.ClearingRule("Reference", F.col("reference")),
         reconcile.ClearingRule("Text", F.col("text"), tol="0.1"),
     ]
-    judged = reconcile.judge_by_rules(ledger(spark, sf), rules, "amount", "verdict", "rule").drop("rule_no")
-    return stage(judged, "clearing")
+    return reconcile.judge_by_rules(ledger(spark, sf), rules, "amount", "verdict", "rule").drop("rule_no")
 
 
 _STAGED = f"{LEDGER}, {_BY_REF}, {_BY_TEXT}, s AS (SELECT *, 'Reference' AS rule FROM r UNION ALL SELECT *, 'Text' FROM t)"
@@ -944,8 +944,8 @@ _STAGED = f"{LEDGER}, {_BY_REF}, {_BY_TEXT}, s AS (SELECT *, 'Reference' AS rule
     )
 )
 def c_staged_clearing(spark, sf):
-    cleared, still_open = reconcile.staged_clearing(_stacked(spark, sf), "verdict")
-    return cleared.withColumn("half", F.lit("cleared")).unionByName(still_open.withColumn("half", F.lit("open")))
+    half = F.when(F.col("verdict") == "ZERO", "cleared").otherwise("open")
+    return _stacked(spark, sf).withColumn("half", half)
 
 
 @query(
@@ -956,7 +956,7 @@ def c_staged_clearing(spark, sf):
     )
 )
 def c_uncleared(spark, sf):
-    cleared, still_open = reconcile.staged_clearing(_stacked(spark, sf), "verdict")
+    cleared, still_open = reconcile.staged_clearing(stage(_stacked(spark, sf), "clearing"), "verdict")
     mark = F.concat(F.col("doc").cast("string"), F.lit("/"))
     return reconcile.uncleared(
         still_open.withColumn("d", mark), cleared.withColumn("d", mark), ["d", "line"]
@@ -1346,15 +1346,15 @@ def _costs(spark, sf):
     return orders(spark, sf).withColumns({"pct": pct, "p2": p2})
 
 
-_COSTS = f"""{O}, c AS (SELECT o_orderkey, o_custkey, CAST(o_amount AS DECIMAL(38,2)) AS amount,
-    CAST(coalesce({_PCT}, 0) * 0.01 AS DECIMAL(9,6)) AS f1, {_PCT} AS pct,
-    CAST((o_orderkey % 5) * 20 * 0.01 AS DECIMAL(9,6)) AS f2 FROM o)"""
+_COSTS = f"""{O}, c AS (SELECT o_orderkey, o_custkey, o_amount AS amount,
+    coalesce({_PCT}, 0) * 0.01 AS f1, {_PCT} AS pct,
+    CAST(o_orderkey % 5 AS DECIMAL(3,0)) * 20 * 0.01 AS f2 FROM o)"""
 
 
 @query(final(f"WITH {_COSTS} SELECT o_orderkey, amount * f1 * f2 AS share FROM c", numbers=["share"]))
 def c_allocate(spark, sf):
-    share = fn.charge_share(F.col("o_amount"), F.col("pct"), F.col("p2"))
-    return _costs(spark, sf).select("o_orderkey", share.alias("share"))
+    df = _costs(spark, sf)
+    return df.select("o_orderkey", fn.charge_share(df, F.col("o_amount"), F.col("pct"), F.col("p2")).alias("share"))
 
 
 @query(
@@ -1365,8 +1365,9 @@ def c_allocate(spark, sf):
     )
 )
 def c_split_cost(spark, sf):
-    app, service = allocate.split_cost(F.col("o_amount"), F.col("pct"))
-    return _costs(spark, sf).select(
+    df = _costs(spark, sf)
+    app, service = allocate.split_cost(df, F.col("o_amount"), F.col("pct"))
+    return df.select(
         "o_orderkey", app.alias("app"), service.alias("service"), fn.flag(F.col("pct").isNotNull()).alias("complete")
     )
 
@@ -1381,16 +1382,17 @@ def c_split_cost(spark, sf):
 def c_cost_report(spark, sf):
     n = read(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     c = read(spark, sf, "customer").join(n, "c_nationkey").select(F.col("c_custkey").alias("o_custkey"), "n_name")
-    share = fn.charge_share(F.col("o_amount"), F.col("pct"), F.col("p2"))
+    df = _costs(spark, sf)
+    share = fn.charge_share(df, F.col("o_amount"), F.col("pct"), F.col("p2"))
     return (
-        _costs(spark, sf)
+        df
         .filter(F.col("pct").isNotNull())
         .join(c, "o_custkey")
         .select(
             "o_orderkey",
             "n_name",
             share.alias("share"),
-            fn.charge_share(F.col("o_amount"), F.col("pct")).alias("center"),
+            fn.charge_share(df, F.col("o_amount"), F.col("pct")).alias("center"),
             (100 - share).alias("rest"),
         )
     )
@@ -1408,22 +1410,19 @@ def c_multi_owner(spark, sf):
     final(f"WITH {_COSTS} SELECT o_custkey, sum(amount * f1 * f2) AS total FROM c GROUP BY 1 HAVING sum(amount * f1 * f2) = 0", numbers=["total"])
 )
 def c_zero_total(spark, sf):
-    share = fn.charge_share(F.col("o_amount"), F.col("pct"), F.col("p2"))
-    return validate.zero_total(_costs(spark, sf), ["o_custkey"], share, "total")
+    df = _costs(spark, sf)
+    share = fn.charge_share(df, F.col("o_amount"), F.col("pct"), F.col("p2"))
+    return validate.zero_total(df, ["o_custkey"], share, "total")
 
 
 _REGIONAL = f"""{_COSTS}, t AS (SELECT o_custkey AS cust, sum(amount * f1) AS total FROM c GROUP BY 1),
     rp AS (SELECT r_regionkey AS region, CAST(10 + 5 * r_regionkey AS DECIMAL(7,2)) AS pct FROM region),
-    w AS (SELECT cust, region, total, CAST(total AS DECIMAL(38,10)) * CAST(pct * 0.01 AS DECIMAL(9,6)) AS amt FROM t CROSS JOIN rp)"""
+    w AS (SELECT cust, region, total, total * (pct * 0.01) AS amt FROM t CROSS JOIN rp)"""
 
 
 def _regional(spark, sf):
-    totals = allocate.subtotal(
-        _costs(spark, sf).withColumnRenamed("o_custkey", "cust"),
-        ["cust"],
-        fn.charge_share(F.col("o_amount"), F.col("pct")),
-        "total",
-    )
+    costs = _costs(spark, sf).withColumnRenamed("o_custkey", "cust")
+    totals = allocate.subtotal(costs, ["cust"], fn.charge_share(costs, F.col("o_amount"), F.col("pct")), "total")
     rp = read(spark, sf, "region").select(
         F.col("r_regionkey").alias("region"), (10 + 5 * F.col("r_regionkey")).cast("decimal(7,2)").alias("rpct")
     )
@@ -1432,7 +1431,8 @@ def _regional(spark, sf):
 
 @query(final(f"WITH {_REGIONAL} SELECT cust, region, round(amt, 2) AS amt FROM w", numbers=["amt"]))
 def c_regional(spark, sf):
-    return _regional(spark, sf).select("cust", "region", allocate.weigh(F.col("total"), F.col("rpct"), 2).alias("amt"))
+    df = _regional(spark, sf)
+    return df.select("cust", "region", allocate.weigh(df, F.col("total"), F.col("rpct"), 2).alias("amt"))
 
 
 @query(
@@ -1441,7 +1441,8 @@ def c_regional(spark, sf):
     )
 )
 def c_shared_cost(spark, sf):
-    weighed = _regional(spark, sf).withColumn("amt", allocate.weigh(F.col("total"), F.col("rpct")))
+    df = _regional(spark, sf)
+    weighed = df.withColumn("amt", allocate.weigh(df, F.col("total"), F.col("rpct")))
     return weighed.groupBy((F.col("cust") % 10).alias("owner"), "region").agg(F.sum("amt").alias("amt"))
 
 
@@ -1449,7 +1450,8 @@ def c_shared_cost(spark, sf):
     final(f"WITH {_REGIONAL} SELECT region, round(sum(round(amt, 2)), 2) AS amt FROM w GROUP BY 1", numbers=["amt"])
 )
 def c_shared_total(spark, sf):
-    weighed = _regional(spark, sf).withColumn("amt", allocate.weigh(F.col("total"), F.col("rpct"), 2))
+    df = _regional(spark, sf)
+    weighed = df.withColumn("amt", allocate.weigh(df, F.col("total"), F.col("rpct"), 2))
     return weighed.groupBy("region").agg(F.round(F.sum("amt"), 2).alias("amt"))
 
 
@@ -1461,8 +1463,9 @@ def c_shared_total(spark, sf):
     )
 )
 def c_shared_by_region(spark, sf):
-    weighed = _regional(spark, sf).select(
-        "cust", F.col("region").alias("r_regionkey"), allocate.weigh(F.col("total"), F.col("rpct")).alias("amt")
+    df = _regional(spark, sf)
+    weighed = df.select(
+        "cust", F.col("region").alias("r_regionkey"), allocate.weigh(df, F.col("total"), F.col("rpct")).alias("amt")
     )
     grid = allocate.pair_with(
         weighed.select("cust").distinct(), read(spark, sf, "region").select("r_regionkey", "r_name")

@@ -10,14 +10,16 @@ from .dates import (
     parse_yyyymmdd,
 )
 from .numbers import (
+    as_factor,
     charge_share,
     div0,
+    exact,
     flag,
     money,
     net_of,
     outside_tolerance,
     override_by_prefix,
-    percent,
+    product,
     quantity,
     signed,
     within_tolerance,

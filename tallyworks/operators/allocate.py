@@ -7,23 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions import charge_share, money, percent
+from tallyworks.functions import as_factor, charge_share, exact, product
 
 
-def split_cost(amount: Column, pct: Column) -> tuple[Column, Column]:
-    """(allocated, remaining) parts of an amount; a missing percentage allocates nothing."""
-    share = charge_share(amount, pct)
-    return share, money(amount) - share
+def split_cost(df: DataFrame, amount: Column, pct: Column) -> tuple[Column, Column]:
+    """(allocated, remaining) parts of an amount of ``df``; a missing percentage allocates nothing."""
+    share = charge_share(df, amount, pct)
+    return share, exact(df, amount).col - share
 
 
-def factor_of(pct: Column) -> Column:
+def factor_of(df: DataFrame, pct: Column) -> Column:
     """Percent to factor, NULL staying NULL."""
-    return F.when(pct.isNotNull(), percent(pct))
+    return as_factor(exact(df, pct)).col
 
 
-def weigh(total: Column, pct: Column, digits: int | None = None) -> Column:
+def weigh(df: DataFrame, total: Column, pct: Column, digits: int | None = None) -> Column:
     """A summed amount times a percentage, optionally rounded; NULL percentage gives NULL."""
-    out = total.cast("decimal(28,10)") * factor_of(pct)
+    out = product(exact(df, total), as_factor(exact(df, pct))).col
     return out if digits is None else F.round(out, digits)
 
 
@@ -37,14 +37,47 @@ def subtotal(df: DataFrame, keys: Sequence[str], value: Column, out: str) -> Dat
     return df.groupBy(*keys).agg(F.sum(value).alias(out))
 
 
-def pair_with(df: DataFrame, dimension: DataFrame, blocks: int = 8) -> DataFrame:
-    """Every row with every row of a dimension, as an equi-join.
+def grid_sides(left: int, right: int, tasks: int) -> tuple[int, int]:
+    """Blocks (of left, of right) whose product is about ``tasks``, with the fewest copies.
 
-    The dimension's rows are dealt out over ``blocks`` numbers and each row of ``df`` is
-    sent to all of them. The join then follows the sizes Spark measures: a broadcast while
-    the dimension is small, else a shuffle spread over row and block, with no nested loop.
+    Each row of a side is copied once per block of the other, so the larger side gets more blocks.
     """
-    names = dimension.columns
-    dealt = dimension.withColumn("_block", F.pmod(F.xxhash64(*names), F.lit(blocks)).cast("int"))
-    sent = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return sent.join(dealt, "_block").drop("_block")
+    of_right = max(1, min(tasks, round((tasks * max(right, 1) / max(left, 1)) ** 0.5)))
+    return max(1, -(-tasks // of_right)), of_right
+
+
+def in_grid(left: DataFrame, right: DataFrame, rows: int, columns: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt over a grid, so that each pair of rows meets in one cell: join on ``_row`` and ``_column``.
+
+    A row's own block follows from its values, so a task that runs again deals alike.
+    """
+
+    def block(df: DataFrame, n: int) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n)).cast("int")
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    dealt = left.withColumn("_row", block(left, rows)).withColumn("_column", each(columns))
+    other = right.withColumn("_column", block(right, columns)).withColumn("_row", each(rows))
+    return dealt, other
+
+
+def pair_with(df: DataFrame, dimension: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Every row with every row of a dimension, without a nested loop.
+
+    The dimension is measured. If it is smaller than Spark's limit for broadcasts, its rows go along as one array and
+    are exploded in place: no row of ``df`` is copied before, moved or joined. Otherwise both sides are measured and dealt
+    over a grid of about ``tasks`` cells, by default four for each shuffle partition, and joined by cell.
+    """
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    fields = [F.col(f"`{c}`") for c in dimension.columns]
+    size = F.sum(F.length(F.to_json(F.struct(*fields)))).alias("size")
+    n, size = dimension.agg(F.count(F.lit(1)).alias("n"), size).first()
+    if (size or 0) < limit:
+        whole = dimension.agg(F.collect_list(F.struct(*fields))).scalar()
+        return df.withColumn("_pair", F.explode(whole)).select(*df.columns, "_pair.*")
+    tasks = tasks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left, right = in_grid(df, dimension, *grid_sides(df.count(), n, tasks))
+    return left.join(right, ["_row", "_column"]).drop("_row", "_column")

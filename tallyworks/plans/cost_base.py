@@ -119,9 +119,9 @@ def with_applications(src: Sources, df: DataFrame, by_id: bool) -> DataFrame:
     return df.join(apps, "tco_applicationid")
 
 
-def center_share() -> Column:
-    return charge_share(F.col("tco_cost_value"), F.col("center_pct"))
+def center_share(df: DataFrame) -> Column:
+    return charge_share(df, F.col("tco_cost_value"), F.col("center_pct"))
 
 
-def application_share() -> Column:
-    return charge_share(F.col("tco_cost_value"), F.col("center_pct"), F.col("application_pct"))
+def application_share(df: DataFrame) -> Column:
+    return charge_share(df, F.col("tco_cost_value"), F.col("center_pct"), F.col("application_pct"))

@@ -31,7 +31,7 @@ def application_totals(src: Sources, centers: bool = True, reuse: bool = True) -
     keys += ["tco_application_name", "app_plan_name", "app_owner", COMPONENT]
     keys += ["center_owner", "tco_function"] if centers else []
     df = df.withColumn("displayed", F.col("tco_gl_account_id").isNotNull())
-    totals = subtotal(df, keys, base.application_share(), "app_total").withColumnRenamed("tco_cost_financial_plan", PLAN)
+    totals = subtotal(df, keys, base.application_share(df), "app_total").withColumnRenamed("tco_cost_financial_plan", PLAN)
     return stage(totals, "application-totals") if reuse else totals
 
 
@@ -85,20 +85,20 @@ def regional_cost(src: Sources, reuse: bool = True, totals: DataFrame | None = N
             "component_region_pct",
         )
         .agg(F.sum("app_total").alias("sum_app_assignment"))
-        .select(
-            _key("component"),
-            PLAN,
-            PLAN_NAME,
-            F.col("app_owner").alias("tco_capabilityownername"),
-            "tco_application_name",
-            F.lit("shared").alias("tco_cost_type"),
-            F.col("component").alias(COMPONENT),
-            "tco_function",
-            REGION,
-            factor_of(F.col("component_region_pct")).alias("tco_buregion_assignment"),
-            "sum_app_assignment",
-            weigh(F.col("sum_app_assignment"), F.col("region_pct"), 2).alias(_AMOUNT),
-        )
+    )
+    shared = shared.select(
+        _key("component"),
+        PLAN,
+        PLAN_NAME,
+        F.col("app_owner").alias("tco_capabilityownername"),
+        "tco_application_name",
+        F.lit("shared").alias("tco_cost_type"),
+        F.col("component").alias(COMPONENT),
+        "tco_function",
+        REGION,
+        factor_of(shared, F.col("component_region_pct")).alias("tco_buregion_assignment"),
+        "sum_app_assignment",
+        weigh(shared, F.col("sum_app_assignment"), F.col("region_pct"), 2).alias(_AMOUNT),
     )
     direct = (
         totals.filter(F.col("tco_cost_financial_planname") == base.newest(src))
@@ -107,20 +107,20 @@ def regional_cost(src: Sources, reuse: bool = True, totals: DataFrame | None = N
         .groupBy(PLAN, PLAN_NAME, "center_owner", "tco_application_name", "tco_function", REGION, "region_pct")
         .agg(F.sum("app_total").alias("sum_app_assignment"))
         .withColumn(COMPONENT, F.lit("Direct"))
-        .select(
-            _key(kind="direct"),
-            PLAN,
-            PLAN_NAME,
-            F.col("center_owner").alias("tco_capabilityownername"),
-            "tco_application_name",
-            F.lit("direct").alias("tco_cost_type"),
-            COMPONENT,
-            "tco_function",
-            REGION,
-            factor_of(F.col("region_pct")).alias("tco_buregion_assignment"),
-            "sum_app_assignment",
-            weigh(F.col("sum_app_assignment"), F.col("region_pct")).alias(_AMOUNT),
-        )
+    )
+    direct = direct.select(
+        _key(kind="direct"),
+        PLAN,
+        PLAN_NAME,
+        F.col("center_owner").alias("tco_capabilityownername"),
+        "tco_application_name",
+        F.lit("direct").alias("tco_cost_type"),
+        COMPONENT,
+        "tco_function",
+        REGION,
+        factor_of(direct, F.col("region_pct")).alias("tco_buregion_assignment"),
+        "sum_app_assignment",
+        weigh(direct, F.col("sum_app_assignment"), F.col("region_pct")).alias(_AMOUNT),
     )
     return shared.unionByName(direct)
 
@@ -163,21 +163,20 @@ def shared_cost(src: Sources, reuse: bool = True, totals: DataFrame | None = Non
         .groupBy(PLAN, PLAN_NAME, "app_owner", "tco_application_name", COMPONENT, REGION, "component_region_pct")
         .agg(F.sum("app_total").alias("sum_app_assignment"))
     )
-    return (
-        per_app.groupBy(PLAN, PLAN_NAME, "app_owner", COMPONENT, REGION, "component_region_pct")
-        .agg(F.sum("sum_app_assignment").alias("total"))
-        .select(
-            _key(),
-            PLAN,
-            F.col("app_owner").alias("tco_capabilityownername"),
-            COMPONENT,
-            REGION,
-            weigh(F.col("total"), F.col("component_region_pct")).alias("total_sum_app_assignment"),
-        )
+    by_owner = per_app.groupBy(PLAN, PLAN_NAME, "app_owner", COMPONENT, REGION, "component_region_pct").agg(
+        F.sum("sum_app_assignment").alias("total")
+    )
+    return by_owner.select(
+        _key(),
+        PLAN,
+        F.col("app_owner").alias("tco_capabilityownername"),
+        COMPONENT,
+        REGION,
+        weigh(by_owner, F.col("total"), F.col("component_region_pct")).alias("total_sum_app_assignment"),
     )
 
 
-def shared_total(src: Sources, reuse: bool = False, totals: DataFrame | None = None) -> DataFrame:
+def shared_total(src: Sources, reuse: bool = True, totals: DataFrame | None = None) -> DataFrame:
     """Shared-component total by region; rounded per application and again in total."""
     totals = application_totals(src, reuse=reuse) if totals is None else totals
     per_app = (
@@ -185,10 +184,10 @@ def shared_total(src: Sources, reuse: bool = False, totals: DataFrame | None = N
         .join(_component_names(src), "tco_name", "left")
         .groupBy("tco_application_name", PLAN_NAME, "component", REGION, "region_pct")
         .agg(F.sum("app_total").alias("total"))
-        .withColumn("amount", weigh(F.col("total"), F.col("region_pct"), 2))
     )
     return (
-        per_app.groupBy(REGION, PLAN_NAME, "component")
+        per_app.withColumn("amount", weigh(per_app, F.col("total"), F.col("region_pct"), 2))
+        .groupBy(REGION, PLAN_NAME, "component")
         .agg(F.round(F.sum("amount"), 2).alias("tco_shared_component_buregion_assignment_amt"))
         .select(
             _key("component"),
@@ -255,7 +254,8 @@ def shared_by_region(src: Sources) -> DataFrame:
     named = amounts.join(components, ["tco_name", PLAN]).join(descriptions, COMPONENT, "left")
     paired = pair_with(named, regions).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     known = owners.withColumn("matched_region", F.col(REGION))
-    return paired.join(known, ["tco_application_name", PLAN_NAME, REGION], "left").select(
+    weighed = paired.join(known, ["tco_application_name", PLAN_NAME, REGION], "left")
+    return weighed.select(
         _key(),
         PLAN,
         F.col("owner").alias("tco_capabilityownername"),
@@ -264,9 +264,9 @@ def shared_by_region(src: Sources) -> DataFrame:
         F.lit("shared").alias("tco_cost_type"),
         COMPONENT,
         F.col("matched_region").alias(REGION),
-        factor_of(F.col("region_pct")).alias("tco_shared_component_buregion_assignment_perc"),
+        factor_of(weighed, F.col("region_pct")).alias("tco_shared_component_buregion_assignment_perc"),
         F.col("tco_dolassigned").alias("tco_shared_component_app_assignment_amt"),
-        weigh(F.col("tco_dolassigned"), F.col("region_pct"), 2).alias(
+        weigh(weighed, F.col("tco_dolassigned"), F.col("region_pct"), 2).alias(
             "tco_total_shared_component_app_buregion_assignment_amt"
         ),
     )

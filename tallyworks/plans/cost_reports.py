@@ -34,8 +34,9 @@ def _latest_chain(src: Sources) -> DataFrame:
 def cost_to_application(src: Sources) -> DataFrame:
     """Each cost line with what it charges to each active application."""
     value, center, app = F.col("tco_cost_value"), F.col("center_pct"), F.col("application_pct")
-    share = base.application_share()
-    return _latest_chain(src).select(
+    df = _latest_chain(src)
+    share = base.application_share(df)
+    return df.select(
         *_COST,
         "tco_cost_center_id",
         "tco_cost_center_nm",
@@ -44,12 +45,12 @@ def cost_to_application(src: Sources) -> DataFrame:
         F.col("center_owner").alias("tco_capabilityownername"),
         F.col("center_owner_yomi").alias("tco_capabilityowneryominame"),
         *_ACCOUNT,
-        base.center_share().alias("app_assigned_amount"),
+        base.center_share(df).alias("app_assigned_amount"),
         flag(center.isNotNull()).alias("cost_center_assignment_complete"),
         flag(app.isNotNull()).alias("application_assignment_complete"),
         app.alias("application_assignment"),
         share.alias("app_assignment"),
-        charge_share(value, app).alias("app_assignment2"),
+        charge_share(df, value, app).alias("app_assignment2"),
         # 100 less the amount, as reported; not the unassigned percentage.
         (F.lit(100) - share).alias("app_unassigned"),
         "tco_applicationid",
@@ -64,7 +65,7 @@ def cost_to_center(src: Sources) -> DataFrame:
     df = base.with_accounts(src, base.costs(src), by_id=True)
     df = base.with_centers(src, df, by_id=True)
     df = base.with_allocation(src, df, by_id=True)
-    allocated, service = split_cost(F.col("tco_cost_value"), F.col("center_pct"))
+    allocated, service = split_cost(df, F.col("tco_cost_value"), F.col("center_pct"))
     return df.select(
         *_COST,
         "tco_cost_center_id",
@@ -127,7 +128,7 @@ def zero_cost_applications(src: Sources) -> DataFrame:
     plan = ["tco_cost_financial_plan", "tco_cost_financial_planname"]
     per_center = df.groupBy(
         *plan, "tco_cost_cost_center", "tco_application_id", "tco_application_name"
-    ).agg(F.sum(base.application_share()).alias("share"))
+    ).agg(F.sum(base.application_share(df)).alias("share"))
     owner = ["tco_cost_center_id", "tco_cost_center_nm", "center_owner", "tco_function"]
     totals = zero_total(
         base.with_centers(src, per_center, by_id=True),

@@ -124,8 +124,8 @@ def test_signed_and_flags(spark):
 
 def test_charge_share_is_exact(spark):
     rows = [(Decimal("100.10"), Decimal("33.25"), Decimal("60")), (Decimal("100.10"), None, Decimal("60"))]
-    share = fn.charge_share(F.col("v"), F.col("p"), F.col("q"))
-    got = values(spark, "v decimal(18,2), p decimal(7,2), q decimal(7,2)", rows, share)
+    df = spark.createDataFrame(rows, "v decimal(18,2), p decimal(7,2), q decimal(7,2)")
+    got = [r[0] for r in df.select(fn.charge_share(df, F.col("v"), F.col("p"), F.col("q"))).collect()]
     assert got == [Decimal("19.96995000000000"), Decimal("0E-14")]
 
 

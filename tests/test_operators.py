@@ -1,10 +1,13 @@
 import datetime as dt
+import decimal
 import itertools
+import re
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyworks.functions import charge_share
 from tallyworks.operators import allocate, membership, reconcile, reshape, skew, spine, validate
 from tallyworks.session import tune
 
@@ -234,3 +237,59 @@ def test_group_apart_equals_group_by(spark):
     apart = skew.group_apart(df, ["k", "g"], {"s": F.sum("v")})
     assert rows(apart) == rows(df.groupBy("k", "g").agg(F.sum("v")))
     assert rows(skew.distinct_keys(df, F.col("k"))) == Counter([(1,)])
+
+
+def test_shares_keep_every_digit(spark):
+    """Costs with four places, percentages with six, one above 1000, and wide types, against Python's decimals."""
+    D = decimal.Decimal
+    rows_ = [("1234567.8901", "33.333333", "12.5"), ("0.0001", "0.000001", "100"), ("-5.5555", "1234.567891", "99.9"), ("7.0000", None, "3")]
+    data = [(D(a), None if p is None else D(p), D(q)) for a, p, q in rows_]
+    for kinds in ("decimal(18,4), p decimal(10,6), q decimal(5,2)", "decimal(24,4), p decimal(38,6), q decimal(9,4)"):
+        df = spark.createDataFrame(data, f"a {kinds}")
+        got = df.select(
+            "a", "p", "q", charge_share(df, F.col("a"), F.col("p"), F.col("q")).alias("share"), *[
+                c.alias(n) for n, c in zip(("part", "rest"), allocate.split_cost(df, F.col("a"), F.col("p")))
+            ], allocate.factor_of(df, F.col("p")).alias("f"), allocate.weigh(df, F.col("a"), F.col("p"), 2).alias("w")
+        ).collect()
+        with decimal.localcontext(prec=60):
+            for r in got:
+                p = r.p or D(0)
+                assert r.share == r.a * p * r.q / 10000
+                assert r.part == r.a * p / 100 and r.part + r.rest == r.a
+                assert r.f == (None if r.p is None else p / 100)
+                assert r.w == (None if r.p is None else (r.a * p / 100).quantize(D("0.01"), decimal.ROUND_HALF_UP))
+
+
+def test_shares_of_sums_and_of_other_types(spark):
+    df = spark.createDataFrame([(10, 2.5, "7"), (20, 0.5, "9")], "i int, d double, t string")
+    share = charge_share(df, F.col("i"), F.col("d"))
+    assert [float(r[0]) for r in df.select(share).collect()] == [0.25, 0.1]
+    assert [float(r[0]) for r in df.select(charge_share(df, F.col("t"), F.col("i"))).collect()] == [0.7, 1.8]
+    wide = spark.createDataFrame([(decimal.Decimal("123456789012.1234"), decimal.Decimal("12.345678"))] * 3, "a decimal(18,4), p decimal(9,6)")
+    total = wide.groupBy("p").agg(F.sum(charge_share(wide, F.col("a"), F.col("p"), F.col("p"))).alias("s"))
+    got = total.select(allocate.weigh(total, F.col("s"), F.col("p"), 2)).first()[0]
+    with decimal.localcontext(prec=60):
+        exact = 3 * decimal.Decimal("123456789012.1234") * decimal.Decimal("0.12345678") ** 3
+        assert got == exact.quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP)
+
+
+@pytest.mark.parametrize(("left", "right", "tasks", "sides"), [(1000, 10, 64, (64, 1)), (100, 100, 64, (8, 8)), (0, 0, 4, (2, 2)), (1, 10**9, 16, (1, 16))])
+def test_grid_follows_the_sizes(left, right, tasks, sides):
+    assert allocate.grid_sides(left, right, tasks) == sides
+
+
+def test_large_dimension_is_dealt_over_a_grid(skewed):
+    left, right = skewed.range(300).toDF("a"), skewed.range(500).select(F.col("id").alias("b"), F.lit("x").alias("c"))
+    both = allocate.pair_with(left, right, tasks=36)
+    assert both.count() == 150_000 and both.distinct().count() == 150_000
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and not re.search("NestedLoop|Cartesian|BroadcastHash", plan)
+    cells = allocate.in_grid(left, right, *allocate.grid_sides(300, 500, 36))[0].select("_row", "_column").distinct().count()
+    assert cells > 8
+
+
+def test_small_dimension_copies_no_rows(spark):
+    both = allocate.pair_with(spark.range(7).toDF("a"), spark.range(3).select(F.col("id").alias("b c")))
+    assert "Join" not in both._jdf.queryExecution().optimizedPlan().toString()
+    assert both.columns == ["a", "b c"] and both.count() == 21
+    assert allocate.pair_with(spark.range(7).toDF("a"), spark.range(0).toDF("b")).count() == 0
