@@ -116,7 +116,8 @@ def plant_sql() -> str:
     return final(a.with_inputs(sql), ["date"], PLANT_MEASURES)
 
 
-def warehouse_sql() -> str:
+def warehouse_sql(matched: bool = False) -> str:
+    by_warehouse = " AND sold.kunnr = g.wh" if matched else ""
     ctes = [
         _pallets(const.PALLETS_WAREHOUSE),
         _DAYS,
@@ -129,12 +130,12 @@ def warehouse_sql() -> str:
         _split("sold", "d, plant, kunnr", "due", "auart = 'ZBA3'"),
         """cap AS (SELECT l.plant, code AS wh, sum(can_capacity) AS cc, sum(end_capacity) AS ec FROM loc l
             JOIN t001k k ON k.bwkey = l.plant GROUP BY 1, 2)""",
-        """base AS (SELECT g.d AS date, g.plant, g.wh AS warehouse, sold.kunnr AS k,
+        f"""base AS (SELECT g.d AS date, g.plant, g.wh AS warehouse, sold.kunnr AS k,
             coalesce(cap.cc, 0) AS capacity_cans, coalesce(cap.ec, 0) AS capacity_ends,
             round(coalesce(st.cans, 0), 0) AS stock_cans, round(coalesce(st.ends, 0), 0) AS stock_ends,
             round(coalesce(sold.cans, 0), 0) AS sales_cans, round(coalesce(sold.ends, 0), 0) AS sales_ends
             FROM grid g LEFT JOIN st ON st.d = g.d AND st.plant = g.plant AND st.wh = g.wh
-            LEFT JOIN sold ON sold.d = g.d AND sold.plant = g.plant
+            LEFT JOIN sold ON sold.d = g.d AND sold.plant = g.plant{by_warehouse}
             LEFT JOIN cap ON cap.plant = g.plant AND cap.wh = g.wh)""",
     ]
     over = (

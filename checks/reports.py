@@ -20,6 +20,11 @@ register(
     lambda spark, sf: plans.warehouse_capacity(adapted(spark, sf), AS_OF),
     cap.warehouse_sql(),
 )
+register(
+    "report_warehouse_capacity_matched",
+    lambda spark, sf: plans.warehouse_capacity(adapted(spark, sf), AS_OF, match_warehouse=True),
+    cap.warehouse_sql(matched=True),
+)
 register(
     "report_packaging",
     lambda spark, sf: plans.packaging_availability(adapted(spark, sf)),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import div0, within_tolerance
 from tallyworks.operators.membership import not_in
-from tallyworks.operators.skew import group_apart
+from tallyworks.operators.skew import group_apart, spread_blank_keys
 
 
 def key_verdicts(
@@ -113,6 +113,29 @@ def uncleared_keys(stacked: DataFrame, keys: Sequence[str], verdict: str = "bala
     return per_key.filter((F.col("_open") == 1) & (F.col("_zero") == 0)).select(*keys)
 
 
+def in_bands(
+    sales: DataFrame, ledger: DataFrame, sales_amount: str, ledger_amount: str, tol: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with bands of their amounts, equal for every pair that may differ by at most ``tol``.
+
+    Bands are twice the tolerance wide. A ledger row is in the band of its amount; a sale is repeated for the
+    bands that its amount less and plus the tolerance are in, which are two at most, or three where numbers round.
+    Rows without an amount have no band.
+    """
+    width = max(float(tol), 1e-6) * 2
+
+    def band(amount: Column) -> Column:
+        return F.floor(amount / width).cast("long")
+
+    amount = F.col(sales_amount).cast("double")
+    reach = F.lit(float(tol) * (1 + 1e-6)) + F.abs(amount) * 1e-12
+    bands = F.sequence(band(amount - reach), band(amount + reach))
+    return (
+        sales.withColumn("_sale_band", F.explode(bands)),
+        ledger.withColumn("_ledger_band", band(F.col(ledger_amount).cast("double"))),
+    )
+
+
 def tolerant_match(
     sales: DataFrame,
     ledger: DataFrame,
@@ -125,13 +148,15 @@ def tolerant_match(
     """Pairs equal on the paired columns whose amounts differ by at most ``tol``.
 
     Put every equality that is asked for (document key, date) into ``on``: all of them
-    become join keys. ``tol=None`` keeps every pair and only reports the difference.
+    become join keys, and so does the band of the amount (see :func:`in_bands`), so a key that very
+    many rows share, such as a blank reference, doesn't pair all of them with all. ``tol=None`` keeps every pair and
+    only reports the difference.
     """
-    cond: Column | None = None
-    for s, l in on.items():
-        part = F.col(f"s.{s}") == F.col(f"l.{l}")
-        cond = part if cond is None else cond & part
-    pairs = sales.alias("s").join(ledger.alias("l"), cond)
+    cond = reduce(and_, [F.col(f"s.{s}") == F.col(f"l.{l}") for s, l in on.items()])
+    if tol is not None:
+        sales, ledger = in_bands(sales, ledger, sales_amount, ledger_amount, tol)
+        cond = cond & (F.col("s._sale_band") == F.col("l._ledger_band"))
+    pairs = sales.alias("s").join(ledger.alias("l"), cond).drop("_sale_band", "_ledger_band")
     pairs = pairs.withColumn(difference, F.col(f"s.{sales_amount}") - F.col(f"l.{ledger_amount}"))
     return pairs if tol is None else pairs.filter(within_tolerance(F.col(difference), tol))
 
@@ -175,17 +200,24 @@ def fallback_pairs(
     systems agreeing, does not double the rows. The sides' columns must differ in name.
     """
 
-    def cond(on: Mapping[str, str]) -> Column:
-        return reduce(and_, [F.col(f"a.{l}") == F.col(f"b.{r}") for l, r in on.items()])
-
-    a, b = left.alias("a"), right.alias("b")
-    found_before = F.coalesce(cond(primary), F.lit(False))
+    found_before = F.coalesce(_equal(primary), F.lit(False))
     columns = [*left.columns, *right.columns]
-    by_primary = a.join(b, cond(primary), "left").select(*columns)
-    by_fallback = a.join(b, cond(fallback) & ~found_before).select(*columns)
+    a, b = _spread(left, right, primary)
+    by_primary = a.join(b, _equal({**primary, "_spread": "_spread"}), "left").select(*columns)
+    a, b = _spread(left, right, fallback)
+    by_fallback = a.join(b, _equal({**fallback, "_spread": "_spread"}) & ~found_before).select(*columns)
     return by_primary.unionByName(by_fallback)
 
 
+def _equal(on: Mapping[str, str]) -> Column:
+    return reduce(and_, [F.col(f"a.{l}") == F.col(f"b.{r}") for l, r in on.items()])
+
+
+def _spread(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    a, b = spread_blank_keys(left, right, on)
+    return a.alias("a"), b.alias("b")
+
+
 def match_with_fallback(
     left: DataFrame,
     right: DataFrame,
@@ -205,13 +237,12 @@ def two_key_pairs(
     Adds ``by_primary``, which key the row is for, and ``found``, whether it has a partner; a row of ``left`` without
     one by a key has one row for that key, with NULL partner columns. A NULL in a key matches nothing.
     Each key is looked up once, and who has no partner, the partners by the first key and those by the second
-    are all read from the result. The sides' columns must differ in name.
+    are all read from the result. Blank and NULL keys are spread over the tasks. The sides' columns must differ in name.
     """
 
     def by(on: Mapping[str, str], first: bool) -> DataFrame:
-        marked = right.withColumn("found", F.lit(True))
-        cond = reduce(and_, [F.col(f"a.{l}") == F.col(f"b.{r}") for l, r in on.items()])
-        joined = left.alias("a").join(marked.alias("b"), cond, "left")
+        a, b = _spread(left, right.withColumn("found", F.lit(True)), on)
+        joined = a.join(b, _equal({**on, "_spread": "_spread"}), "left").drop("_spread")
         return joined.withColumns({"found": F.coalesce("found", F.lit(False)), "by_primary": F.lit(first)})
 
     return by(primary, True).unionByName(by(fallback, False))

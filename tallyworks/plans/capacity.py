@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions import digits_between, div0, pad_key, parse_yyyymmdd, quantity, remap
 from tallyworks.operators.membership import impute_mean, latest, mark_sides
 from tallyworks.operators.reshape import category_columns, stack_by_alt_key
-from tallyworks.operators.spine import densify, running_balance, spread_over
+from tallyworks.operators.spine import densify, running_balance, running_balance_in_blocks, spread_over
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
 
@@ -308,11 +308,11 @@ def warehouse_capacity(
             for what in ("capacity", "stock", "sales")
         }
     )
-    df = df.withColumn("_order", F.struct("date", "customer"))
-    df = running_balance(
+    # without the match by warehouse, a warehouse has the sales of all customers of its plant
+    df = running_balance_in_blocks(
         df,
         ["plant", "warehouse"],
-        "_order",
+        ["date", "customer"],
         {
             f"daily_result_ag_only{e}": F.col(f"stock_quantity_ag_only{e}") - F.col(f"sales_quantity_ag_only{e}")
             for e in _SPLIT

@@ -1,6 +1,7 @@
 import datetime as dt
 import decimal
 import itertools
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -293,3 +294,82 @@ def test_small_dimension_copies_no_rows(spark):
     assert "Join" not in both._jdf.queryExecution().optimizedPlan().toString()
     assert both.columns == ["a", "b c"] and both.count() == 21
     assert allocate.pair_with(spark.range(7).toDF("a"), spark.range(0).toDF("b")).count() == 0
+
+
+def test_band_join_gives_the_pairs_within_tolerance(spark):
+    rng = random.Random(5)
+    sales = [(rng.choice("ab"), decimal.Decimal(rng.randrange(-400, 400)) / 100) for _ in range(150)] + [("a", None), (None, decimal.Decimal(1))]
+    ledger = [(rng.choice("ab"), decimal.Decimal(rng.randrange(-400, 400)) / 100) for _ in range(150)] + [("b", None), (None, decimal.Decimal(1))]
+    for kind in ("decimal(12,2)", "double"):
+        s = spark.createDataFrame(sales, "k string, x decimal(12,2)").withColumn("x", F.col("x").cast(kind))
+        l = spark.createDataFrame(ledger, "r string, y decimal(12,2)").withColumn("y", F.col("y").cast(kind))
+        for tol in ("0.1", "0.03", "0"):
+            got = rows(reconcile.tolerant_match(s, l, {"k": "r"}, "x", "y", tol=tol).select("k", "x", "y"))
+            num = decimal.Decimal if kind != "double" else float
+            bound = num(tol)
+            expected = Counter(
+                (a, num(x), num(y)) for a, x in sales for b, y in ledger if a and a == b and None not in (x, y) and abs(num(x) - num(y)) <= bound
+            )
+            assert got == expected, (kind, tol)
+
+
+def test_hot_reference_does_not_pair_all_with_all(spark):
+    n = 10_000
+    side = spark.range(n).select(F.lit("").alias("ref"), (F.col("id") / 4).cast("decimal(12,2)").alias("amt"))
+    sales, ledger = side.toDF("nota", "s_amt"), side.toDF("ref", "l_amt")
+    s, l = reconcile.in_bands(sales, ledger, "s_amt", "l_amt", "0.1")
+    met = s.join(l, (F.col("nota") == F.col("ref")) & (F.col("_sale_band") == F.col("_ledger_band"))).count()
+    assert n <= met <= 3 * n
+    assert reconcile.tolerant_match(sales, ledger, {"nota": "ref"}, "s_amt", "l_amt").count() == n
+
+
+def test_running_balance_in_blocks_is_one_window(spark):
+    rng = random.Random(2)
+    data = [(rng.choice(["p", "q", None]), rng.choice([1, 2, 3, None]), i, rng.choice([None, 1, -2, 5])) for i in range(200)]
+    data += [("n", 1, 900, None), ("n", 2, 901, None), ("n", 3, 902, 4)]
+    df = spark.createDataFrame(data, "k string, day int, seq int, v int").withColumn("v", F.col("v").cast("decimal(12,2)"))
+    df = df.withColumn("order", F.struct("day", "seq"))
+    one = spine.running_balance(df, ["k"], "order", {"a": F.col("v"), "b": F.col("v") * 2}).drop("order")
+    blocks = spine.running_balance_in_blocks(df.drop("order"), ["k"], ["day", "seq"], {"a": F.col("v"), "b": F.col("v") * 2})
+    assert rows(blocks) == rows(one) and blocks.dtypes == one.dtypes
+    single = spine.running_balance_in_blocks(df.filter("seq < 900").groupBy("k", "day").agg(F.sum("v").alias("v")), ["k"], ["day"], {"a": F.col("v")})
+    assert rows(single) == rows(spine.running_balance(df.filter("seq < 900").groupBy("k", "day").agg(F.sum("v").alias("v")), ["k"], "day", {"a": F.col("v")}))
+
+
+def test_a_plant_with_a_third_of_the_rows_is_spread(skewed):
+    df = skewed.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("plant"),
+        (F.col("id") / 3 % 31).cast("int").alias("day"),
+        F.col("id").alias("customer"),
+    )
+    out = spine.running_balance_in_blocks(df, ["plant"], ["day", "customer"], {"r": F.lit(1).cast("decimal(9,0)")})
+    skewed.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = out.select("plant", F.spark_partition_id().alias("p")).filter("plant = 'hot'").distinct().count()
+    skewed.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts >= 4
+    assert out.filter("plant = 'hot'").agg(F.max("r")).first()[0] == 30_000
+
+
+def test_blank_keys_are_spread_and_match_the_same_rows(spark):
+    """A twentieth of the keys is blank and another NULL, on both sides."""
+    rng = random.Random(4)
+
+    def key(i):
+        return "" if i % 20 == 0 else " " if i % 20 == 1 else None if i % 20 == 2 else f"k{rng.randrange(150)}"
+
+    left = spark.createDataFrame([(i, key(i), key(i + 3)) for i in range(400)], "id int, key string, alt string")
+    right = spark.createDataFrame([(i, key(i), key(i + 5)) for i in range(300)], "rid int, rkey string, ralt string")
+    a, b = skew.spread_blank_keys(left, right, {"key": "rkey"}, parts=6)
+    assert a.filter("key = ''").select("_spread").distinct().count() > 3
+    assert a.filter("key IS NULL").select("_spread").distinct().count() > 3 and b.filter("rkey IS NULL").count() == 15
+    assert b.filter("rkey = ''").count() == 15 * 6 and b.filter("rkey = 'k1'").count() == right.filter("rkey = 'k1'").count()
+    for how in ("inner", "left"):
+        plain = left.join(right, left.key == right.rkey, how)
+        assert rows(a.join(b, (a.key == b.rkey) & (a._spread == b._spread), how).drop("_spread")) == rows(plain)
+    pairs = reconcile.two_key_pairs(left, right, {"key": "rkey"}, {"alt": "ralt"})
+    for first, cond in ((True, left.key == right.rkey), (False, left.alt == right.ralt)):
+        plain = left.join(right.withColumn("f", F.lit(True)), cond, "left")
+        assert rows(pairs.filter(F.col("by_primary") == first).select(*plain.columns[:-1], "found")) == rows(plain.fillna(False, ["f"]))
+    got = reconcile.fallback_pairs(left, right, {"key": "rkey"}, {"alt": "ralt"})
+    other = left.join(right, (left.alt == right.ralt) & ~F.coalesce(left.key == right.rkey, F.lit(False)))
+    assert rows(got) == rows(left.join(right, left.key == right.rkey, "left").union(other))
