@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ from tallyworks.operators.reconcile import (
     uncleared_keys,
 )
 from tallyworks.operators.skew import distinct_keys
-from tallyworks.session import stage
+from tallyworks.session import LazyTables, Workspace, stage
 from tallyworks.sources import Sources
 from tallyworks.sources import constants as const
 
@@ -231,23 +231,23 @@ def clearing_rules() -> list[ClearingRule]:
     ]
 
 
-def clear(entries: DataFrame, reuse: bool = False) -> DataFrame:
+def clear(entries: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Ledger rows under each clearing rule with its verdict.
 
     Three rules are judged in one pass. The fourth, by text, sums what the first leaves open and is shown for all rows of the
-    first, so it follows on the first one's rows; ``reuse`` writes these once.
+    first, so it follows on the first one's rows; ``keep`` may store these, as they are read three times.
     """
     amount = "amount_local"
-    judged = judge_by_rules(entries, clearing_rules(), amount)
-    if reuse:
-        judged = stage(judged, "verdicts")
+    judged = keep(judge_by_rules(entries, clearing_rules(), amount))
     by_reference = judged.filter("rule_no = 0").drop("balance_type", "rule_no")
     left = by_reference.filter(F.col("balance_result") == "BALANCE").drop("balance_result")
     by_text = net_to_zero(left, "text", amount, tol="0.1", rows=by_reference.drop("balance_result"))
     return judged.drop("rule_no").unionByName(by_text.withColumn("balance_type", F.lit("Text")))
 
 
-def open_ledger_lines(entries: DataFrame, reuse: bool = False) -> DataFrame:
+def open_ledger_lines(
+    entries: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
     """Ledger lines of the documents with open rows that no rule has cleared.
 
     The rules only need sums, so they are judged on one row per document, type, reference and
@@ -255,7 +255,7 @@ def open_ledger_lines(entries: DataFrame, reuse: bool = False) -> DataFrame:
     aggregation over the verdicts.
     """
     summed = entries.groupBy(*CLEARING_KEYS).agg(F.sum("amount_local").alias("amount_local"))
-    documents = uncleared_keys(clear(summed, reuse), ["comp_code", "document_number", "year_month"])
+    documents = uncleared_keys(clear(summed, keep), ["comp_code", "document_number", "year_month"])
     return entries.select(*LEDGER_COLUMNS).join(
         distinct_keys(documents, F.col("document_number")), "document_number", "left_semi"
     )
@@ -313,29 +313,41 @@ def matched_sales(totals: DataFrame, open_ledger: DataFrame) -> DataFrame:
 
 
 def transit_tables(
-    src: Sources, as_of: dt.date, reuse: bool = True
-) -> dict[str, DataFrame]:
-    """All tables of the reconciliation report.
+    src: Sources, as_of: dt.date, reuse: bool = True, workspace: Workspace | None = None
+) -> Mapping[str, DataFrame]:
+    """All tables of the reconciliation report, each built when it is asked for.
 
-    With ``reuse`` the ledger, its open lines and the sales base are written once to the
-    shared folder and read back by the branches they feed.
+    With ``reuse`` what feeds several of them (the ledger, its verdicts and open lines, the sales base) is written when first
+    needed: to the ``workspace``, where a run that starts again finds it, or else to the shared folder.
     """
-    keep = stage if reuse else (lambda df, _: df)
-    entries = keep(ledger(src, as_of), "ledger")
-    sold = keep(sales(src, as_of), "sales")
-    open_ledger = keep(open_ledger_lines(entries, reuse), "open-ledger")
-    cleared, _ = staged_clearing(clear(entries.select(*STAGE_COLUMNS), reuse))
-    totals = sales_totals(sold)
-    matched = matched_sales(totals, open_ledger)
-    return {
-        "sales_base": sold,
-        "sales_previous_month": sold.filter(in_month(F.col("invoice_date"), as_of, -1)),
-        "cleared": cleared,
-        "open_ledger": open_ledger,
-        "match_diagnostic": match_diagnostic(totals, open_ledger),
-        "base": sap_base(open_ledger, matched),
-        "summary": class_summary(open_ledger, matched),
-    }
+
+    def keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if workspace is not None:
+            return workspace.table(name, make)
+        return stage(make(), name) if reuse else make()
+
+    def verdicts(rows: DataFrame, name: str) -> DataFrame:
+        return clear(rows, lambda df: keep(name, lambda: df))
+
+    def totals() -> DataFrame:
+        return sales_totals(t["sales_base"])
+
+    t = LazyTables(
+        {
+            "ledger": lambda: keep("ledger", lambda: ledger(src, as_of)),
+            "sales_base": lambda: keep("sales", lambda: sales(src, as_of)),
+            "sales_previous_month": lambda: t["sales_base"].filter(in_month(F.col("invoice_date"), as_of, -1)),
+            "cleared": lambda: staged_clearing(verdicts(t["ledger"].select(*STAGE_COLUMNS), "verdicts"))[0],
+            "open_ledger": lambda: keep(
+                "open-ledger",
+                lambda: open_ledger_lines(t["ledger"], lambda df: keep("document-verdicts", lambda: df)),
+            ),
+            "match_diagnostic": lambda: match_diagnostic(totals(), t["open_ledger"]),
+            "base": lambda: sap_base(t["open_ledger"], matched_sales(totals(), t["open_ledger"])),
+            "summary": lambda: class_summary(t["open_ledger"], matched_sales(totals(), t["open_ledger"])),
+        }
+    )
+    return t
 
 
 def sap_base(open_ledger: DataFrame, matched: DataFrame) -> DataFrame:
@@ -394,12 +406,9 @@ def _by_class(rows: DataFrame) -> DataFrame:
     return summarise_by_class(rows, "product", sums, "sum_quantity", "total_net_revenue")
 
 
-def transit_reconciliation(src: Sources, as_of: dt.date, reuse: bool = True) -> DataFrame:
-    """The closing table of the report: totals per product class.
-
-    Only the ledger and its open lines feed several branches here and are staged.
-    """
-    keep = stage if reuse else (lambda df, _: df)
-    entries = keep(ledger(src, as_of), "ledger")
-    open_ledger = keep(open_ledger_lines(entries, reuse), "open-ledger")
-    return class_summary(open_ledger, matched_sales(sales_totals(sales(src, as_of)), open_ledger))
+def transit_reconciliation(
+    src: Sources, as_of: dt.date, reuse: bool = True, workspace: Workspace | None = None
+) -> DataFrame:
+    """The closing table of the report: totals per product class. Sales are read once here and aren't stored."""
+    t = transit_tables(src, as_of, reuse, workspace)
+    return class_summary(t["open_ledger"], matched_sales(sales_totals(sales(src, as_of)), t["open_ledger"]))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Settings that matter for the joins here: runtime re-planning with skew splitting,
 #: broadcast decided by measured size only, and UTC dates.
@@ -67,3 +70,67 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """The stored tables of one run in a folder of its own.
+
+    A table is made when it is first asked for. Once its write is complete it is entered in the folder's
+    manifest, with its schema; a run that starts again with the same folder reads what the manifest has and makes the rest.
+    The folder belongs to one set of inputs and arguments, and all executors must see it.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    def _path(self, name: str):
+        """Hadoop's file system and path of a name in the folder, so that any store that Spark writes to will do."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
+
+    def complete(self) -> list[str]:
+        """Names of the tables that are whole."""
+        fs, path = self._path("_manifest")
+        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+    def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        fs, entry = self._path(f"_manifest/{name}")
+        if not fs.exists(entry):
+            df = make()
+            df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            out = fs.create(entry, True)
+            out.write(bytearray(df.schema.json().encode()))
+            out.close()
+        lines = self.spark.read.text(f"{self.folder}/_manifest/{name}", wholetext=True)
+        schema = StructType.fromJson(json.loads(lines.first()[0]))
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+
+    def clear(self) -> None:
+        """Delete the tables of the manifest, entries first, and the manifest if nothing is left in it."""
+        for name in self.complete():
+            for part in (f"_manifest/{name}", name):
+                fs, path = self._path(part)
+                fs.delete(path, True)
+        fs, path = self._path("_manifest")
+        if fs.exists(path) and not fs.listStatus(path):
+            fs.delete(path, True)
+
+
+class LazyTables(Mapping):
+    """Named tables, each built when it is first asked for, so that one doesn't cost the others' work."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)

@@ -13,7 +13,7 @@ from tallyworks import plans
 from tallyworks.operators import reconcile
 from tallyworks.plans import labels, transit
 from tallyworks.plans.cost_overview import cost_overview
-from tallyworks.session import shared_dir, stage
+from tallyworks.session import LazyTables, Workspace, shared_dir, stage
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
 from tallyworks.sources.tables import snake
@@ -235,3 +235,43 @@ def test_invoice_check_with_repeated_headers_and_lines(spark):
     assert verdicts[("d1", key)] == right  # one of its keys is missing, but its number is known
     assert verdicts[("d2", key)] == wrong  # the contact's repeat doubles its freight
     assert verdicts[("d5", key[::-1])] == bad and verdicts[("d4", "")] == wrong and verdicts[("d1", "short")] == wrong
+
+
+def test_tables_are_made_when_asked_for_and_found_again(spark, sf_dir, tmp_path, monkeypatch):
+    src = adapted(spark, sf_dir)
+    work = Workspace(spark, f"file://{tmp_path}/run")
+    tables = plans.transit_tables(src, LEDGER_AS_OF, workspace=work)
+    assert work.complete() == []
+    sold = rows(tables["sales_previous_month"])
+    assert work.complete() == ["sales"]  # no ledger
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(transit, "uncleared_keys", broken)
+        with pytest.raises(RuntimeError):
+            tables["summary"]
+    assert work.complete() == ["document-verdicts", "ledger", "sales"]
+    with monkeypatch.context() as m:  # a run that starts again reads what is there
+        m.setattr(transit, "ledger", broken)
+        m.setattr(transit, "sales", broken)
+        again = plans.transit_tables(src, LEDGER_AS_OF, workspace=Workspace(spark, f"file://{tmp_path}/run"))
+        assert rows(again["sales_previous_month"]) == sold
+        summary = rows(again["summary"])
+    assert summary == rows(plans.transit_reconciliation(src, LEDGER_AS_OF, reuse=False))
+    assert set(again) == set(tables) and len(again) == 8
+    work.clear()
+    assert work.complete() == [] and not list((tmp_path / "run").iterdir())
+
+
+def test_a_write_that_failed_is_not_complete(spark, tmp_path):
+    work = Workspace(spark, f"file://{tmp_path}/w")
+    bad = spark.range(4).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        work.table("t", lambda: bad)
+    assert work.complete() == []
+    got = work.table("t", lambda: spark.range(3).withColumn("d", F.lit("1.5").cast("decimal(9,2)")))
+    assert work.complete() == ["t"] and got.count() == 3 and got.dtypes == [("id", "bigint"), ("d", "decimal(9,2)")]
+    lazy = LazyTables({"a": lambda: spark.range(1), "b": lambda: 1 / 0})
+    assert lazy["a"] is lazy["a"] and list(lazy) == ["a", "b"]
