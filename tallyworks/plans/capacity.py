@@ -14,6 +14,7 @@ from tallyworks.operators.reshape import category_columns, stack_by_alt_key
 from tallyworks.operators.spine import densify, running_balance, running_balance_in_blocks, spread_over
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
+from tallyworks.sources.layout import in_months
 
 TYPES = {"cans": "Cans", "ends": "Ends"}
 
@@ -58,9 +59,10 @@ def due_lines(
     src: Sources, pallets: DataFrame, as_of: dt.date, days: int, order_type: Column | None = None
 ) -> DataFrame:
     """Open order lines due within the horizon, in pallets."""
+    last = as_of + dt.timedelta(days=days)
     schedule = (
-        src.client_table("vbep")
-        .filter(digits_between(F.col("tddat"), as_of, as_of + dt.timedelta(days=days)))
+        in_months(src.client_table("vbep"), "tddat", as_of, last)
+        .filter(digits_between(F.col("tddat"), as_of, last))
         .select("vbeln", "posnr", parse_yyyymmdd(F.col("tddat")).alias("date"), "wmeng")
     )
     lines = src.client_table("vbap").filter(F.col("abgru") == " ").select("vbeln", "posnr", "matnr", "werks")

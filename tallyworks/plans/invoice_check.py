@@ -14,6 +14,7 @@ from tallyworks.operators.validate import Rule, status_verdict, validate
 from tallyworks.session import stage
 from tallyworks.sources import Sources
 from tallyworks.sources import constants as const
+from tallyworks.sources.layout import in_months
 
 HEADER = (
     "doc_num",
@@ -108,7 +109,7 @@ def ledger_headers(src: Sources, as_of: dt.date) -> DataFrame:
     """Incoming invoices of the ledger system with access key and plant contact, and how often each occurs."""
     posted = parse_yyyymmdd(F.col("pstdat"))
     docs = (
-        src.client_table("j_1bnfdoc")
+        in_months(src.client_table("j_1bnfdoc"), "pstdat", dt.date(as_of.year - 1, 1, 1))
         .filter((F.col("pstdat") >= f"{as_of.year - 1}0101") & posted.isNotNull())
         .filter((F.col("direct") == "1") & (F.col("form") == " ") & (F.col("model") != "57"))
         .select(

@@ -25,6 +25,7 @@ from tallyworks.operators.reshape import combinations, kind_lists
 from tallyworks.session import stage
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
+from tallyworks.sources.layout import in_months
 
 KEY_PARTS = ("regio", "nfyear", "nfmonth", "stcd1", "model", "serie", "nfnum9", "docnum9", "cdv")
 
@@ -60,8 +61,9 @@ def _lines(src: Sources, as_of: dt.date, lag: int) -> DataFrame:
     The day and the operation list cut the documents first; everything later joins to
     what is left of them.
     """
-    day = (as_of - dt.timedelta(days=lag)).strftime("%Y%m%d")
-    docs = in_domain(src.client_table("j_1bnfdoc").filter(F.col("docdat") == day), "natop", const.OPERATIONS).select(
+    day = as_of - dt.timedelta(days=lag)
+    issued = in_months(src.client_table("j_1bnfdoc"), "docdat", day, day).filter(F.col("docdat") == day.strftime("%Y%m%d"))
+    docs = in_domain(issued, "natop", const.OPERATIONS).select(
         "docnum",
         "direct",
         "natop",

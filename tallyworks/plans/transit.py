@@ -36,6 +36,7 @@ from tallyworks.operators.skew import distinct_keys
 from tallyworks.session import LazyTables, Workspace, stage
 from tallyworks.sources import Sources
 from tallyworks.sources import constants as const
+from tallyworks.sources.layout import in_months
 
 LEDGER_COLUMNS = (
     "comp_code",
@@ -76,7 +77,7 @@ def ledger(src: Sources, as_of: dt.date) -> DataFrame:
         & F.col("vbund").isin(*const.LEDGER_PARTNERS)
         & ((F.col("augbl") == "") | digits_between(F.col("augdt"), first, last))
     )
-    heads = src.client_table("bkpf").filter(
+    heads = in_months(src.client_table("bkpf"), "budat", dt.date(2014, 1, 1)).filter(
         (F.col("budat") >= "20140101")
         & parse_yyyymmdd(F.col("budat")).isNotNull()
         & ~F.coalesce(digits_between(F.col("budat"), first, last), F.lit(False))
@@ -127,7 +128,7 @@ def sales(src: Sources, as_of: dt.date) -> DataFrame:
     """Invoiced sales lines of earlier months with their profitability values."""
     first, last = month_bounds(as_of)
     invoices = (
-        src.client_table("vbrk")
+        in_months(src.client_table("vbrk"), "fkdat", dt.date(2017, 6, 1))
         .filter(F.col("bukrs").isin(*const.SALES_COMPANIES) & (F.col("fkdat") >= "20170601"))
         .filter(
             parse_yyyymmdd(F.col("fkdat")).isNotNull()

@@ -8,6 +8,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sources.layout import read_layout
+
 
 def snake(name: str) -> str:
     """``Storage Location`` -> ``storage_location``."""
@@ -33,6 +35,11 @@ class Sources:
         """One parquet file or folder per table under ``root``."""
         return cls(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet"), client)
 
+    @classmethod
+    def from_layout(cls, spark: SparkSession, root: str, client: str = "300") -> Sources:
+        """Tables stored by client and month under ``root``, see :mod:`tallyworks.sources.layout`; others as they are."""
+        return cls(spark, lambda name: read_layout(spark, f"{root.rstrip('/')}/{name}"), client)
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: Mapping[str, str] | str, client: str = "300") -> Sources:
         """Catalog tables: a schema name, or a mapping from base name to full name."""

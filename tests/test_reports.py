@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from checks.adapters import AS_OF, LEDGER_AS_OF, TABLES, adapted, on_spark
 from tallyworks import plans
 from tallyworks.operators import reconcile
-from tallyworks.plans import labels, transit
+from tallyworks.plans import capacity, labels, transit
 from tallyworks.plans.cost_overview import cost_overview
 from tallyworks.session import LazyTables, Workspace, shared_dir, stage
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
+from tallyworks.sources.layout import write_layout
 from tallyworks.sources.tables import snake
 
 
@@ -275,3 +276,30 @@ def test_a_write_that_failed_is_not_complete(spark, tmp_path):
     assert work.complete() == ["t"] and got.count() == 3 and got.dtypes == [("id", "bigint"), ("d", "decimal(9,2)")]
     lazy = LazyTables({"a": lambda: spark.range(1), "b": lambda: 1 / 0})
     assert lazy["a"] is lazy["a"] and list(lazy) == ["a", "b"]
+
+
+def test_client_and_dates_choose_the_folders(spark, sf_dir, tmp_path):
+    for name, date in (("vbep", "tddat"), ("vbap", None), ("bkpf", "budat"), ("bseg", None), ("mara", None)):
+        table = on_spark(spark, sf_dir, f"SELECT * FROM {name}")
+        other = table.withColumn("mandt", F.lit("030"))
+        write_layout(table.unionByName(other), f"{tmp_path}/{name}", date)
+    adapted(spark, sf_dir).table("vbak").write.parquet(f"{tmp_path}/vbak")
+    src = Sources.from_layout(spark, str(tmp_path))
+    assert {r.mandt for r in src.table("bkpf").select("mandt").distinct().collect()} == {"300", "030"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+
+    def scan(df, name):
+        line = next(x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if re.search(rf"FileScan.*/{name}[,\]]", x))
+        return line.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+
+    ledger = transit.ledger(src, LEDGER_AS_OF)
+    assert "mandt" in scan(ledger, "bkpf") and "budat_month" in scan(ledger, "bkpf") and "201401" in scan(ledger, "bkpf")
+    assert "mandt" in scan(ledger, "bseg")
+    pallets = inline(spark, ["mat_group", "pnum", "types"], [("8000", 10, "Cans")])
+    due = capacity.due_lines(src, pallets, AS_OF, 30)
+    assert "mandt" in scan(due, "vbep") and "tddat_month" in scan(due, "vbep")
+    direct = adapted(spark, sf_dir)
+    assert rows(ledger) == rows(transit.ledger(direct, LEDGER_AS_OF))
+    assert rows(due) == rows(capacity.due_lines(direct, pallets, AS_OF, 30))
+    listed = src.table("vbep").filter("mandt = '030'").select("tddat_month").distinct().count()
+    assert listed == on_spark(spark, sf_dir, "SELECT DISTINCT substring(tddat, 1, 6) FROM vbep").count()
