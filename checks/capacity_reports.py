@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from checks import adapters as a
+from checks import expected as const
 from checks.sqltext import div0, final, qty, values
-from tallyworks.plans.capacity import PLANT_MEASURES, WAREHOUSE_MEASURES
-from tallyworks.sources import constants as const
 
 _DAYS = "days AS (SELECT DATE '1998-01-01' + CAST(i AS INTEGER) AS d FROM range(31) AS r(i))"
 _LOC = """loc AS (SELECT CASE WHEN type = 'Warehouse' THEN location_code ELSE lpad(location_code, 10, '0') END AS code,
@@ -111,9 +110,9 @@ def plant_sql() -> str:
         for e in ("_cans", "_ends", ""):
             rate = div0(f"daily_result_{w}{e}", f"capacity_quantity_{w}{e}")
             rates.append(f"{rate} AS warehouse_ocupation_{w}{e}")
-    plain = [m for m in PLANT_MEASURES if not m.startswith("warehouse_ocupation")]
+    plain = [m for m in const.PLANT_MEASURES if not m.startswith("warehouse_ocupation")]
     sql = f"WITH {', '.join(ctes)} SELECT date, plant, {', '.join(plain)}, {', '.join(rates)} FROM done"
-    return final(a.with_inputs(sql), ["date"], PLANT_MEASURES)
+    return final(a.with_inputs(sql), ["date"], const.PLANT_MEASURES)
 
 
 def warehouse_sql(matched: bool = False) -> str:
@@ -151,7 +150,7 @@ def warehouse_sql(matched: bool = False) -> str:
         rates.append(f"{rate} AS warehouse_ocupation_ag_only{e}")
     ctes.append(f"ran AS (SELECT date, plant, warehouse, {', '.join(cols)} FROM {both} AS b)")
     return final(
-        a.with_inputs(f"WITH {', '.join(ctes)} SELECT *, {', '.join(rates)} FROM ran"), ["date"], WAREHOUSE_MEASURES
+        a.with_inputs(f"WITH {', '.join(ctes)} SELECT *, {', '.join(rates)} FROM ran"), ["date"], const.WAREHOUSE_MEASURES
     )
 
 

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from checks import adapters as a
+from checks import expected as const
 from checks.sqltext import final, in_list, values
-from tallyworks.plans.invoice_check import HEADER, OUTPUT
-from tallyworks.plans.invoice_snapshot import KEY_PARTS, PRINTED, TAIL_BY_WIDTH
-from tallyworks.sources import constants as const
 
 _D = "CAST(try_strptime({}, '%Y%m%d') AS DATE)"
-_KEY = " || ".join(f"e.{p}" for p in KEY_PARTS)
+_KEY = " || ".join(f"e.{p}" for p in const.KEY_PARTS)
 
 
 def check_sql() -> str:
@@ -57,7 +55,7 @@ def check_sql() -> str:
         FROM j_1bnfdoc d LEFT JOIN j_1bnfe_active e ON e.docnum = d.docnum JOIN j_1bnflin l ON l.docnum = d.docnum
         LEFT JOIN sa_excel_tax_plant_xref x ON x.cnpj = d.cnpj_bupla
         WHERE year({_D.format('pstdat')}) >= 1997 AND direct = '1' AND form = ' ' AND d.model <> '57'),
-    hdr AS (SELECT {', '.join(HEADER)}, sum(freight) AS freight_total, sum(insurance) AS insurance_total,
+    hdr AS (SELECT {', '.join(const.INVOICE_HEADER)}, sum(freight) AS freight_total, sum(insurance) AS insurance_total,
         sum(discount) AS discount_total, sum(other_cost) AS other_total,
         NOT EXISTS (SELECT 1 FROM tax t WHERE t.tax_access_key = lines.access_key) AS no_key,
         NOT EXISTS (SELECT 1 FROM tax t WHERE t.tax_number = lines.number AND t.tax_issuer_id = lines.issuer_tax_id)
@@ -72,7 +70,7 @@ def check_sql() -> str:
         UNION ALL SELECT l.*, status, message, tax.* FROM lines l
             JOIN judged j ON j.doc_num = l.doc_num AND j.access_key = l.access_key
             JOIN tax ON tax.tax_number = l.number AND tax.tax_issuer_id = l.issuer_tax_id)
-    SELECT DISTINCT {', '.join(OUTPUT)} FROM both_keys
+    SELECT DISTINCT {', '.join(const.INVOICE_OUTPUT)} FROM both_keys
     WHERE tax_access_key IS NOT NULL OR status = '{bad}' OR length(access_key) < 44"""
     numbers = ["total_value", "item_value", "freight", "insurance", "discount", "other_cost", "tax_freight"]
     numbers += ["tax_insurance", "tax_discount", "tax_other", "tax_total"]
@@ -91,7 +89,12 @@ def ptbr(text: str, by_width: bool) -> str:
     return f"CASE {' '.join(arms)} ELSE {text} END"
 
 
-def snapshot_sql() -> str:
+def proper(number: str, decimals: int) -> str:
+    """Brazilian number text: dots between thousands and a comma before the decimals."""
+    return f"translate(format('{{:,.{decimals}f}}', CAST(CAST({number} AS DECIMAL(38,{decimals})) AS DOUBLE)), '.,', ',.')"
+
+
+def snapshot_sql(compat: bool = True) -> str:
     def comma(expr: str) -> str:
         return f"replace(CAST({expr} AS VARCHAR), '.', ',')"
 
@@ -130,7 +133,10 @@ def snapshot_sql() -> str:
     texts = {n: comma(e) for n, e in numbers.items()}
     texts["z_icms_st_base"] = "CASE WHEN modbcst = ' ' THEN '0,00' ELSE replace(modbcst, '.', ',') END"
     raw = ", ".join(f"{t} AS {n}" for n, t in texts.items())
-    printed = ", ".join(f"{ptbr(n, n in TAIL_BY_WIDTH)} AS {n}" for n in texts)
+    printed = ", ".join(f"{ptbr(n, n in const.TAIL_BY_WIDTH)} AS {n}" for n in texts)
+    if not compat:
+        raw = ", ".join([f"{e} AS {n}" for n, e in numbers.items()] + [f"{texts['z_icms_st_base']} AS z_icms_st_base"])
+        printed = ", ".join(f"{proper(n, const.DECIMALS.get(n, 2))} AS {n}" for n in numbers) + ", z_icms_st_base"
 
     def rate(kind: str) -> str:
         return comma(f"CASE WHEN left(nbm, 1) IN ('3', '4') THEN 0.00 ELSE CAST({kind} / 10 AS DECIMAL(6,2)) END")
@@ -147,7 +153,7 @@ def snapshot_sql() -> str:
 
     taxes = {"icms": ("BX13", "kwert"), "ipi": ("BX23", "kwert"), "pis": ("BX82", "kwert"), "cofins": ("BX72", "kwert")}
     rates = {"icms": ("BX13", "kbetr"), "ipi": ("IPVA", "kbetr")}
-    plain = {f"key_part_{i}": f"e.{k}" for i, k in enumerate(KEY_PARTS, 1)} | {
+    plain = {f"key_part_{i}": f"e.{k}" for i, k in enumerate(const.KEY_PARTS, 1)} | {
         "a_issuer_name": "ke.name1",
         "a_issuer_street": "ke.stras",
         "a_issuer_district": "ke.ort02",
@@ -221,5 +227,4 @@ def snapshot_sql() -> str:
     WHERE {_KEY} IS NOT NULL AND natop IN {in_list(a.OPERATION_NAMES)}
     AND mtart IN {in_list(const.SNAPSHOT_MATERIAL_TYPES)} AND {_D.format('docdat')} = DATE '1997-12-29')
     SELECT {', '.join(plain)}, {printed} FROM rows_"""
-    assert set(PRINTED) == set(numbers)
     return a.with_inputs(sql)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.invoice_reports import ptbr
 from checks.registry import register
 from checks.sqltext import div0, final, qty
 from tallyworks import functions as fn
@@ -148,6 +149,19 @@ def p_distinct(spark, sf):
     return read(spark, sf, "customer").filter(key != "3BUILDING").select("c_nationkey", "c_mktsegment").distinct()
 
 
+@query("SELECT c_mktsegment FROM customer GROUP BY c_nationkey, c_mktsegment")
+def p_group_distinct(spark, sf):
+    # grouping without aggregates: the distinct keys, of which fewer columns may be shown
+    return read(spark, sf, "customer").select("c_nationkey", "c_mktsegment").distinct().select("c_mktsegment")
+
+
+@query("SELECT o_orderkey, year(CAST(o_orderdate AS DATE)) AS year FROM orders WHERE year(CAST(o_orderdate AS DATE)) >= 1997")
+def p_having_filter(spark, sf):
+    # a HAVING on an alias, without grouping, is a filter after the projection
+    year = F.year(F.col("o_orderdate").cast("date")).alias("year")
+    return read(spark, sf, "orders").select("o_orderkey", year).filter(F.col("year") >= 1997)
+
+
 # --- joins -------------------------------------------------------------------------------
 
 
@@ -548,11 +562,25 @@ def u_union_all(spark, sf):
     )
 
 
+@query(
+    """SELECT l_suppkey AS supplier, l_partkey AS part FROM lineitem WHERE l_returnflag = 'R'
+    UNION SELECT s_suppkey, s_suppkey % 40 FROM supplier"""
+)
+def u_union(spark, sf):
+    returned = read(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    suppliers = read(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("supplier"), (F.col("s_suppkey") % 40).alias("part")
+    )
+    return reconcile.union_distinct(
+        returned.select(F.col("l_suppkey").alias("supplier"), F.col("l_partkey").alias("part")), suppliers
+    )
+
+
 @query(
     """SELECT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R'
     UNION SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linestatus = 'F'"""
 )
-def u_union(spark, sf):
+def u_union_one_table(spark, sf):
     # Both parts read one table, so the union is one filter.
     li = read(spark, sf, "lineitem")
     keep = (F.col("l_returnflag") == "R") | (F.col("l_linestatus") == "F")
@@ -1025,6 +1053,20 @@ def c_format_ptbr(spark, sf):
     )
 
 
+@query(
+    f"""WITH {L}, t AS (SELECT l_orderkey, l_linenumber, replace(CAST(CAST(price * l_linenumber * 10 - 50000 AS DECIMAL(18,2)) AS VARCHAR),
+        '.', ',') AS plain FROM li) SELECT l_orderkey, l_linenumber, {ptbr('plain', False)} AS last_two, {ptbr('plain', True)} AS by_width FROM t"""
+)
+def c_format_ptbr_compat(spark, sf):
+    plain = fn.comma_decimal((F.col("price") * F.col("l_linenumber") * 10 - 50000).cast("decimal(18,2)"))
+    return lines(spark, sf).select(
+        "l_orderkey",
+        "l_linenumber",
+        fn.format_ptbr_compat(plain).alias("last_two"),
+        fn.format_ptbr_compat(plain, tail_by_width=True).alias("by_width"),
+    )
+
+
 @query(
     final(
         f"""WITH {L} SELECT l_orderkey, l_linenumber, CASE WHEN left(CAST(l_partkey AS VARCHAR), 1) IN ('3', '4') THEN 0 ELSE tax END
@@ -1247,6 +1289,29 @@ def c_class_summary(spark, sf):
     )
 
 
+_CLASSES = """k AS (SELECT CASE WHEN p_size % 7 = 0 THEN 'A' || p_size WHEN p_size % 11 <> 0 THEN CAST(p_size AS VARCHAR) END AS product,
+    p_partkey % 9 AS quantity, CAST(p_retailprice AS DECIMAL(18,2)) AS revenue FROM part)"""
+
+
+@query(
+    final(
+        f"""WITH {_CLASSES} SELECT CASE WHEN left(product, 1) IN ('8', '9', 'A') THEN product ELSE 'OTHER' END AS product,
+        sum(quantity) AS sum_quantity, sum(revenue) AS sum_revenue,
+        round(CAST({div0('sum(revenue)', 'sum(quantity)')} AS DECIMAL(28,6)), 2) AS average_cost FROM k GROUP BY 1""",
+        numbers=["sum_revenue", "average_cost"],
+        counts=["sum_quantity"],
+    )
+)
+def c_class_summary_kept(spark, sf):
+    size = F.col("p_size")
+    product = F.when(size % 7 == 0, F.concat(F.lit("A"), size.cast("string"))).when(size % 11 != 0, size.cast("string"))
+    rows = read(spark, sf, "part").select(
+        product.alias("product"), (F.col("p_partkey") % 9).alias("quantity"), fn.money(F.col("p_retailprice")).alias("revenue")
+    )
+    sums = {"sum_quantity": "quantity", "sum_revenue": "revenue"}
+    return reconcile.summarise_by_class(rows, "product", sums, "sum_quantity", "sum_revenue")
+
+
 # --- completeness and allocation -------------------------------------------------------------------
 
 _SHARES = """sh AS (SELECT p_partkey AS part, n.k AS k, CAST(CASE WHEN p_partkey % 4 = 1 THEN 49 ELSE 50 END AS DECIMAL(7,2)) AS pct

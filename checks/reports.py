@@ -58,6 +58,12 @@ register(
     inv.snapshot_sql(),
 )
 
+register(
+    "report_invoice_snapshot_proper",
+    lambda spark, sf: plans.invoice_snapshot(adapted(spark, sf), AS_OF, compat=False),
+    inv.snapshot_sql(compat=False),
+)
+
 for _name, _report, _sql in (
     ("region_assignment", plans.region_assignment, cost.region_assignment_sql()),
     ("cost_center_assignment", plans.cost_center_assignment, cost.cost_center_assignment_sql()),

@@ -248,6 +248,11 @@ def two_key_pairs(
     return by(primary, True).unionByName(by(fallback, False))
 
 
+def union_distinct(*frames: DataFrame) -> DataFrame:
+    """Distinct rows of all inputs, by column name: each input is reduced before the one exchange."""
+    return reduce(DataFrame.unionByName, frames).distinct()
+
+
 def consolidate(df: DataFrame, keep: Column, columns: Sequence[str | Column]) -> DataFrame:
     """Distinct report rows passing ``keep``: one exchange for all nested unions."""
     return df.filter(keep).select(*columns).distinct()
