@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,6 +40,14 @@ def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def trim_memory() -> None:
+    """Give freed memory back to the system: workers are kept between stages, and so is what they once needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every system's C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links among 64-bit nodes made into one link from each node to the smallest node it reaches by them."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)

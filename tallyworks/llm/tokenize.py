@@ -8,6 +8,7 @@ characters; texts with other white space between words go to the library as they
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 import numpy as np
@@ -19,6 +20,7 @@ CACHED_WORDS = 1_000_000
 WORDS_A_CALL = 4096
 #: Trailing marks that are always tokens apart from the letter or digit before them.
 _MARKS = ".,;:!?#$%&*+-/=<>@^_~|()[]{}\""
+_WHITE = re.compile(r"\s")
 
 _loaded: dict[str, WordEncoder] = {}
 
@@ -78,13 +80,15 @@ class WordEncoder:
         """Learn words; those that can't be encoded by themselves get None."""
         words, ends = self.words, []
         stems: set[str] = set()
+        # other white space is rare, so all words are looked at in one search first
+        plain = not _WHITE.search("".join(new))
         for w in new:
-            bare = w[1:] if w[:1] == "\x00" else w
-            if len(bare.split()) != 1 or len(bare) != len(bare.strip()):
+            if not plain and _WHITE.search(w) or w in ("", "\x00"):
                 words[w] = None
-            elif (stem := w.rstrip(_MARKS)) != w and stem[-1:].isalnum():
+            elif w[-1] in _MARKS and (stem := w.rstrip(_MARKS)) and stem[-1].isalnum():
                 ends.append((w, stem, "\x00" + w[len(stem) :]))
-                stems.update(ends[-1][1:])
+                stems.add(stem)
+                stems.add(ends[-1][2])
             else:
                 stems.add(w)
         stems.difference_update(words)
