@@ -1,4 +1,8 @@
-"""Mixing sources to target weights by whole repeats of documents."""
+"""Mixing sources to target weights by whole repeats of documents.
+
+Every document is taken floor(rate) times, and once more by a seeded draw whose chance is the rest of the rate. The draws of
+a source are not independent: winners are those whose hash lies in an arc, cut by the words that the hashes hold.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The table of sources is broadcast up to this many rows (names of ordinary length); beyond, it is joined by key.
 BROADCAST_SOURCES = 10_000
 SEED = "mix-1"
+#: Slots that a source's documents draw by hash, and places among them where an arc of winners may begin.
+DRAWS, STARTS = 1024, 8
 
 
 def size_of(text: Column) -> Column:
@@ -46,20 +52,46 @@ def targets(sizes: DataFrame, share: float = 1.5, weights: Sequence[float] = (5,
     return levels.withColumn("target", target).select("source", "source_size", "target")
 
 
-def copies(rate: Column, key: Column) -> Column:
-    """Whole repeats of a document: floor(rate), and one more with the rest as its chance, by a seeded hash."""
-    chance = F.conv(F.substring(F.md5(F.concat(F.lit(SEED + ":"), key)), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    return (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+def draw(doc_id: Column, text_digest: Column) -> Column:
+    """A document's seeded hash, one of ``DRAWS`` slots; documents without a doc_id draw by their text."""
+    key = F.coalesce(doc_id.cast("string"), text_digest)
+    return F.conv(F.substring(F.md5(F.concat(F.lit(SEED + ":"), key)), 1, 8), 16, 10).cast("long") % DRAWS
+
+
+def chosen_slots(drawn: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source, source_size, target, begin, slots): the draws of each source that win one more copy.
+
+    ``drawn`` has source, slot and size of every document. Each source's slots form a circle; the winners are an arc of it, whose
+    share of the source's words is the fraction of the repetition rate. It begins at one of ``STARTS`` places and ends where the
+    words come nearest to what the target leaves, and the place that comes nearest is taken. So a long document
+    at the arc's end doesn't decide what a source gives. The sums are of at most ``DRAWS`` slots a source, whatever the input.
+    """
+    filled = drawn.groupBy("source", "slot").agg(F.sum("size").alias("size"))
+    begins = F.array(*[F.lit(k * (DRAWS // STARTS)) for k in range(STARTS)])
+    around = filled.select("source", "size", "slot", F.explode(begins).alias("begin"))
+    around = around.withColumn("slots", (F.col("slot") - F.col("begin") + DRAWS) % DRAWS + 1)
+    sofar = Window.partitionBy("source", "begin").orderBy("slots").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    around = around.withColumn("words", F.sum("size").over(sofar)).withColumnRenamed("source", "_source")
+    wanted = F.col("target") - F.floor(rate()) * F.col("source_size")
+    tried = sources.withColumn("wanted", wanted).join(around, F.col("source").eqNullSafe(F.col("_source")))
+    best = F.min(F.struct(F.abs(F.col("words") - F.col("wanted")).alias("off"), "begin", "slots"))
+    tried = tried.groupBy("source", "source_size", "target", "wanted").agg(best.alias("best"))
+    none = F.col("wanted") <= F.col("best.off")  # no copy is as near
+    return tried.select(
+        "source", "source_size", "target", F.col("best.begin").alias("begin"), F.when(none, 0).otherwise(F.col("best.slots")).alias("slots")
+    )
 
 
-def _key(with_text: bool) -> Column:
-    """Documents draw by their doc_id; those without draw by their text."""
-    alone = F.coalesce("text", F.lit("")) if with_text else F.col("text_digest")
-    return F.coalesce(F.col("doc_id").cast("string"), alone)
+def copies() -> Column:
+    """Whole repeats of a document: floor(rate), and one more if its slot lies in its source's arc."""
+    wins = (F.col("slot") - F.col("begin") + DRAWS) % DRAWS < F.col("slots")
+    return (F.floor(rate()) + F.when(wins, 1).otherwise(0)).cast("long")
 
 
-def _with_targets(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    sources = staged(sources, "mix-sources").withColumnRenamed("source", "_source")
+def _with_sources(rows: DataFrame, drawn: DataFrame, share: float, weights: Sequence[float], cap: float) -> DataFrame:
+    """The rows (with source and slot) beside their source's size, target and arc."""
+    aims = staged(targets(drawn, share, weights, cap), "mix-sources")
+    sources = staged(chosen_slots(drawn, aims), "mix-slots").withColumnRenamed("source", "_source")
     if sources.count() <= BROADCAST_SOURCES:
         sources = F.broadcast(sources)
     return rows.join(sources, rows["source"].eqNullSafe(sources["_source"]), "left").drop("_source")
@@ -73,27 +105,37 @@ def mix_digest(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (
     """(doc_id, size, source_size, target, taken, copies, source) of every document.
 
     A null source is a source of its own and so is an empty one; null and empty texts have size 0 and are
-    taken 0 words; repeated rows draw alike and each give a row. No rows give no rows.
+    taken 0 words; repeated rows draw alike and each give a row; further columns are ignored. No rows give no rows.
     """
-    sized = docs.select(
+    sized = staged(_sized(docs), "mix-sizes")
+    found = _with_sources(sized, sized, share, weights, cap).withColumn("copies", copies())
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        size_of(F.col("text")).alias("size"),
-        F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")))).alias("text_digest"),
+        size_of(text).alias("size"),
+        draw(F.col("doc_id").cast("long"), F.md5(F.coalesce(text, F.lit("")))).alias("slot"),
     )
-    sized = staged(sized, "mix-sizes")
-    found = _with_targets(sized, targets(sized, share, weights, cap)).withColumn("copies", copies(rate(), _key(False)))
-    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
 def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5, 2, 1), cap: float = 2.0) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with the input's columns.
+    """The mix itself: each document as many times as it is taken, with the input's columns, whatever their names.
 
-    Documents without words weigh nothing and are repeated by their source's rate like the others.
+    Documents without words weigh nothing and are repeated by their source's rate like the others. Nulls and repeated
+    rows are as in ``mix_digest``; no rows give no rows.
     """
-    sizes = docs.select("source", size_of(F.col("text")).alias("size"))
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "source", "doc_id", "text")
-    found = _with_targets(plain, targets(sizes, share, weights, cap)).withColumn("_copies", copies(rate(), _key(True)))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("source").cast("string").alias("source"),
+        draw(F.col("doc_id").cast("long"), F.md5(text)).alias("slot"),
+    )
+    sizes = staged(_sized(docs).groupBy("source", "slot").agg(F.sum("size").alias("size")), "mix-sizes")
+    found = _with_sources(plain, sizes, share, weights, cap).withColumn("_copies", copies())
     repeated = found.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return repeated.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
@@ -118,11 +160,22 @@ WITH sized AS (
   FROM levels
 ), drawn AS (
   SELECT doc_id, size, source_size, target, s.source,
-    CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5('{SEED}:' || doc_id::VARCHAR), 1, 13))::BIGINT / 4503599627370496::DOUBLE AS chance
+    CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
+    ('0x' || substr(md5('{SEED}:' || doc_id::VARCHAR), 1, 8))::BIGINT % {DRAWS} AS slot
   FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source
+), filled AS (
+  SELECT source, slot, sum(size)::BIGINT AS size, any_value(target - whole * source_size) AS wanted FROM drawn GROUP BY source, slot
+), around AS (
+  SELECT source, wanted, b.begin, (slot - b.begin + {DRAWS}) % {DRAWS} + 1 AS slots,
+    sum(size) OVER (PARTITION BY source, b.begin ORDER BY (slot - b.begin + {DRAWS}) % {DRAWS}) AS words
+  FROM filled, (SELECT unnest(range({STARTS})) * {DRAWS // STARTS} AS begin) b
+), arcs AS (
+  SELECT source, begin, CASE WHEN wanted <= off THEN 0 ELSE slots END AS slots FROM (
+    SELECT *, abs(words - wanted) AS off FROM around
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(words - wanted), begin, slots) = 1)
+)
+SELECT doc_id, size, source_size, target, source, whole + won AS copies, (whole + won) * size AS taken
+FROM (
+  SELECT d.*, ((slot - begin + {DRAWS}) % {DRAWS} < slots)::BIGINT AS won FROM drawn d JOIN arcs a ON d.source IS NOT DISTINCT FROM a.source
 )
-SELECT doc_id, size, source_size, target, (floor(rate)::BIGINT + (chance < rate - floor(rate))::BIGINT) * size AS taken,
-  floor(rate)::BIGINT + (chance < rate - floor(rate))::BIGINT AS copies, source
-FROM drawn
 """

@@ -62,3 +62,26 @@ def test_all_sources_empty(spark, documents):
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert difference(mixing.mix_digest(docs), connect(sf_dir), mixing.ORACLE) is None
+
+
+def nearness(rows):
+    """(taken / target, largest document / size) of each source with words."""
+    by = defaultdict(list)
+    for r in rows:
+        by[r.source].append(r)
+    return [
+        (sum(r.taken for r in own) / own[0].target, max(r["size"] for r in own) / own[0].source_size)
+        for own in by.values()
+        if own[0].source_size
+    ]
+
+
+def test_sources_meet_their_targets(spark, sf_dir):
+    near = nearness(mixing.mix_digest(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect())
+    assert all(abs(got - 1) < 0.05 for got, largest in near if largest < 0.05)
+    assert all(abs(got - 1) <= 0.05 + largest / 2 for got, largest in near)
+
+
+def test_a_long_document_does_not_decide(spark, documents):
+    rows = [(i, "w " * (1 + i % 9), "s%d" % (i % 3)) for i in range(1500)] + [(9000 + k, "w " * 400, "s%d" % k) for k in range(3)]
+    assert all(abs(got - 1) < 0.02 for got, _ in nearness(mixing.mix_digest(documents(rows)).collect()))
