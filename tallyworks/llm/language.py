@@ -11,14 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import staged
+from tallyworks.llm.shared import row_key, staged, unpacked, whole_row
 from tallyworks.operators.skew import group_apart
 
 #: The text model is fitted on about this many labelled texts of each language, chosen by hash ...
 TRAIN_TEXTS = 400
-#: ... of at most this many characters, for at most this many languages, those with most texts.
+#: ... of at most this many characters. Every label is a language.
 TRAIN_CHARS = 20_000
-MAX_LANGUAGES = 64
 #: Trigrams of bytes are counted in so many cells.
 CELLS = 1 << 16
 #: Trigrams overlap, so their evidence counts for less than if they were independent.
@@ -72,13 +71,11 @@ class TextModel:
 def train(labelled: DataFrame) -> TextModel:
     """Fit the text model on a bounded sample of rows with ``text`` and ``lang``, the same at each run."""
     known = labelled.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = staged(known.groupBy("lang").agg(F.count("*").alias("texts")), "language-labels")
     chance = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    share = F.lit(None).cast("double")
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(TRAIN_TEXTS / row["count"])).otherwise(share)
-    sample = known.where((F.length("text") <= TRAIN_CHARS) & (chance < share)).select("text", "lang").distinct()
-    rows = sample.limit(2 * TRAIN_TEXTS * max(1, len(counts))).collect()
+    short = known.where(F.length("text") <= TRAIN_CHARS).select("text", "lang").join(counts, "lang")
+    sample = short.where(chance < F.lit(float(TRAIN_TEXTS)) / F.col("texts")).select("text", "lang").distinct()
+    rows = sample.limit(2 * TRAIN_TEXTS * max(1, counts.count())).collect()  # a bound on chance, reached by no fair hash
     return TextModel.fit([(r.text, r.lang) for r in rows])
 
 
@@ -121,7 +118,7 @@ def identify(rows: DataFrame, model: TextModel, keys: list[str]) -> DataFrame:
     plain = rows.select(
         *keys,
         host.alias("host"),
-        F.coalesce(F.when(F.col("markup") & (attribute != ""), attribute), F.lower("declared")).alias("declared"),
+        F.coalesce(F.when(F.col("markup") & (attribute != ""), attribute), F.lower(F.regexp_extract("declared", r"^([^-_]+)", 1))).alias("declared"),
         F.when(F.col("url").isNotNull(), F.regexp_extract(host, r"\.([a-z0-9-]+)$", 1)).alias("suffix"),
         F.when(F.col("url").isNotNull(), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)).alias("domain"),
         F.col("text").cast("binary").alias("text"),
@@ -180,14 +177,14 @@ def identify(rows: DataFrame, model: TextModel, keys: list[str]) -> DataFrame:
 
 
 def document_rows(docs: DataFrame, *keys: Column) -> DataFrame:
-    """Documents as input of ``identify``: the source acts as the host, ``lang`` is what they declare."""
+    """Documents as input of ``identify``: the source acts as the host. ``lang``, which the model is fitted on, is no evidence."""
     return docs.select(
         *keys,
         F.col("text").cast("string").alias("text"),
         F.lit(False).alias("markup"),
         F.lit(None).cast("string").alias("url"),
         F.col("source").cast("string").alias("host"),
-        F.col("lang").cast("string").alias("declared"),
+        F.lit(None).cast("string").alias("declared"),
     )
 
 
@@ -205,8 +202,11 @@ def page_rows(pages: DataFrame, *keys: Column) -> DataFrame:
 
 
 def identified_documents(docs: DataFrame) -> DataFrame:
-    """The documents whose language was identified, all columns kept; see ``identify`` for what is rejected."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text", "source", "lang"))
-    found = identify(document_rows(keyed, F.col("_row")), train(docs), ["_row"])
-    kept = group_apart(found, ["_row"], {"kept": F.max("kept")}).where("kept").select("_row")
-    return keyed.join(kept, "_row", "left_semi").drop("_row")
+    """The documents whose language was identified, all columns kept, whatever their names.
+
+    See ``identify`` for what is rejected, null and empty texts among it. Repeated rows stay or go together; no rows give no rows.
+    """
+    keyed = docs.select(whole_row(docs).alias("row"), row_key(docs).alias("key"), "text", "source")
+    found = identify(document_rows(keyed, F.col("key")), train(docs), ["key"])
+    kept = group_apart(found, ["key"], {"kept": F.max("kept")}).where("kept").select("key")
+    return unpacked(keyed.join(kept, "key", "left_semi"), docs)

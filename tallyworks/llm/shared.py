@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators.skew import group_apart
@@ -40,6 +40,21 @@ def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that none can clash with those an operator adds."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+
+
+def row_key(df: DataFrame) -> Column:
+    """128 bits that tell rows apart by all their values, maps included; repeated rows share them."""
+    return F.md5(F.to_json(whole_row(df)))
+
+
+def unpacked(rows: DataFrame, like: DataFrame, name: str = "row") -> DataFrame:
+    """The columns of ``like`` out of a struct made by ``whole_row``."""
+    return rows.select(*[F.col(name).getField(c).alias(c) for c in like.columns])
+
+
 def trim_memory() -> None:
     """Give freed memory back to the system: workers are kept between stages, and so is what they once needed."""
     gc.collect()

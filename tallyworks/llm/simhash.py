@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import components, forest, runs, staged, whole_groups
+from tallyworks.llm.shared import components, forest, row_key, runs, staged, unpacked, whole_groups, whole_row
 from tallyworks.operators.skew import group_apart
 
 BITS = 64
@@ -61,7 +61,9 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", id_type: str = "long"
+) -> DataFrame:
     """(doc_id, fingerprint): the fingerprint as a signed long. A null text counts as empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,8 +71,8 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str
             prints = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, fingerprint long")
+    rows = docs.select(F.col(id_col).cast(id_type).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(work, f"doc_id {id_type}, fingerprint long")
 
 
 def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
@@ -265,23 +267,25 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """One row of each SimHash group, all columns kept: a row of its smallest doc_id.
+    """One row of each SimHash group, all columns kept, whatever their names: a row of its smallest doc_id.
 
     Of several rows with that doc_id the one with the least text stays. A group whose rows all lack a
-    doc_id keeps one with its least text, a null text first.
+    doc_id keeps one with its least text, a null text first. Repeated rows leave one; no rows give no rows.
     """
-    columns = docs.columns
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-    prints = staged(fingerprints(keyed, shingle, 42, "_row").withColumnRenamed("doc_id", "_row"), "simhash-rows")
+    keyed = docs.select(
+        whole_row(docs).alias("row"),
+        row_key(docs).alias("key"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.col("text").cast("string").alias("text"),
+    )
+    prints = staged(fingerprints(keyed, shingle, 42, "key", "text", "string").withColumnRenamed("doc_id", "key"), "simhash-rows")
     # groups of rows instead of ids, so that rows without one, or with the same, are told apart
-    ids = keyed.select("_row", F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    ids = ids.select("_row", F.struct(F.col("id").isNull().alias("no_id"), "id", F.md5("text").alias("text"), "_row").alias("rank"))
-    ranked = prints.join(ids.dropDuplicates(["_row"]), "_row")
+    ids = keyed.select("key", F.struct(F.col("id").isNull().alias("no_id"), "id", F.md5("text").alias("text"), "key").alias("rank"))
+    ranked = prints.join(ids.dropDuplicates(["key"]), "key")
     classes = staged(ranked.groupBy("fingerprint").agg(F.min("rank").alias("first")), "simhash-classes")
     reach = components(links(classes, distance), "simhash-links")
     rooted = classes.join(reach, classes.fingerprint == reach.node, "left").select(
         "first", F.coalesce("root", "fingerprint").alias("root")
     )
-    stays = group_apart(rooted, ["root"], {"first": F.min("first")}).select(F.col("first._row").alias("_row"))
-    once = keyed.join(stays, "_row", "left_semi")
-    return once.dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in columns])
+    stays = group_apart(rooted, ["root"], {"first": F.min("first")}).select(F.col("first.key").alias("key"))
+    return unpacked(keyed.select("row", "key").join(stays, "key", "left_semi").dropDuplicates(["key"]), docs)

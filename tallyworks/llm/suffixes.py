@@ -312,7 +312,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, batches: int = 4) -> Data
     """The documents without their repeated strings; ``n_chars``, where present, is counted anew.
 
     A character goes if all its bytes go, so the text stays valid. Null texts stay null, and a text that
-    loses everything stays as an empty one; all other columns and rows stay as they are.
+    loses everything stays as an empty one; all other columns, whatever their names, and rows stay as they are.
+    No rows give no rows.
     """
 
     def work(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,8 +338,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, batches: int = 4) -> Data
             columns = [pa.array(texts, pa.string()) if k == i else c for k, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    found = _with_spans(docs, length, batches).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("spans").alias("_spans"))
-    cut = found.mapInArrow(work, docs.schema)
+    # columns go by number on the way, so that none clashes with those added here
+    own = ("doc_id", "text", "n_chars")
+    plain = docs.toDF(*[c if c in own else f"c{i}" for i, c in enumerate(docs.columns)])
+    cut = _with_spans(plain, length, batches).select(*plain.columns, "spans").mapInArrow(work, plain.schema)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return cut
+    return cut.toDF(*docs.columns)

@@ -1,6 +1,7 @@
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -72,3 +73,20 @@ def test_odd_rows(spark, documents, tmp_path):
             docs = spark.read.parquet(path)
             assert name == "pack" or docs.columns == columns
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_clashing_columns(spark, documents, tmp_path):
+    words = "the cat and the dog ran over hills with some more words to tell them apart".split()
+    rows = [(i, " ".join(words[(i * k + k * k) % len(words)] for k in range(20 + i)), "s%d" % (i % 3), "en") for i in range(30)]
+    extra = ["doc", "spans", "_spans", "_row", "row", "key", "bucket", "heir", "slot", "begin", "size", "target", "c0", "a.b", "id"]
+    docs = documents(rows)
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id")) for c in extra}).withColumn("_map", F.create_map("doc_id", "source"))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, "").write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.count() > 0
+        if name != "pack":
+            assert docs.columns == columns
+            for r in docs.collect():
+                assert all(r[c] == f"{c}-{r.doc_id}" for c in extra) and r["_map"] == {r.doc_id: r.source}
