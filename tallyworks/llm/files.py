@@ -31,7 +31,9 @@ def write_file(folder: str, name: str, attempt: int, write: Callable) -> str:
 
 
 def finished_files(folder: str) -> list[tuple[str, int]]:
-    """Paths and sizes of the complete files of a folder, by name; none if there is no folder."""
+    """Paths and sizes of the complete files of a folder, by name, or of a single file; none if there is no folder."""
     system, base = filesystem(folder)
+    if (alone := system.get_file_info(base)).is_file:
+        return [(folder, alone.size)]
     found = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
     return sorted((f"{folder}/{f.base_name}", f.size) for f in found if f.is_file and not f.base_name.startswith(("_", ".")))

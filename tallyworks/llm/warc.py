@@ -1,7 +1,8 @@
 """WARC archives: a writer that stores equal payloads once, and a Spark data source that reads them.
 
-Records are gzip members of their own whose extra field ``sl`` gives their compressed and plain
-lengths, so a reader can decompress a record's headers and pass over the rest.
+The writer's records are gzip members of their own whose extra field ``sl`` gives their compressed and plain
+lengths, so the reader can decompress a record's headers and pass over the rest. It reads other archives too: plain ones, where it
+seeks past what isn't wanted, and gzip ones without that field, where it inflates but doesn't keep it.
 """
 
 from __future__ import annotations
@@ -14,18 +15,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from tallyworks.llm.files import filesystem, finished_files, write_file
 from tallyworks.llm.shared import new_folder, staged
+from tallyworks.llm.streams import HEAD, Plain, opened
 from tallyworks.operators.skew import group_apart
 
 _DATE = "1970-01-01T00:00:00Z"  # archives of equal pages are equal
-_HEAD = struct.Struct("<4sIBBHBBHII")
-#: Bytes decompressed at a time while a record's headers are looked for, and the most they may have.
-_STEP, _MOST = 4096, 1 << 20
+#: The digits of base 32 as Spark's ``conv`` and as digests write them.
+_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Columns that come from a header each.
 HEADERS = {
     "record_type": "warc-type",
@@ -42,6 +43,12 @@ def payload_digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def digest_of(data: Column) -> Column:
+    """The same for a binary column; ten hexadecimal digits are eight of base 32."""
+    parts = [F.lpad(F.conv(F.substring(F.sha1(data), k * 10 + 1, 10), 16, 32), 8, "0") for k in range(4)]
+    return F.translate(F.concat(*parts), *_DIGITS)
+
+
 def _clean(value: str) -> str:
     """A header value on one line."""
     return " ".join(value.split())
@@ -74,8 +81,8 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, first
     plain = "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
     deflate = zlib.compressobj(6, zlib.DEFLATED, -zlib.MAX_WBITS)
     data = deflate.compress(plain) + deflate.flush()
-    size = _HEAD.size + len(data) + 8
-    head = _HEAD.pack(b"\x1f\x8b\x08\x04", 0, 0, 255, 12, ord("s"), ord("l"), 8, size, len(plain) & 0xFFFFFFFF)
+    size = HEAD.size + len(data) + 8
+    head = HEAD.pack(b"\x1f\x8b\x08\x04", 0, 0, 255, 12, ord("s"), ord("l"), 8, size, len(plain) & 0xFFFFFFFF)
     return head + data + struct.pack("<II", zlib.crc32(plain), len(plain) & 0xFFFFFFFF)
 
 
@@ -87,11 +94,6 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> int:
     all lack an id.
     """
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [payload_digest(x.as_py() or b"") for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "digest"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -113,7 +115,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> int:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("binary").alias("html")
     )
-    known = rows.mapInArrow(digests, "page_id long, url string, html binary, digest string")
+    known = rows.withColumn("digest", digest_of(F.coalesce("html", F.lit(b""))))
     firsts = group_apart(known.select("digest", "page_id"), ["digest"], {"first": F.min("page_id")})
     equal = F.coalesce(F.octet_length("html"), F.lit(0)) >= least_bytes
     marked = known.join(firsts, "digest").select(
@@ -132,12 +134,29 @@ class Archive(InputPartition):
         self.path = path
 
 
+def fields(block: bytes) -> dict[str, str]:
+    """Header fields by lower-case name, the first of each; a line that begins with white space goes on with the one before."""
+    out: dict[str, str] = {}
+    lines: list[str] = []
+    for line in block.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")[1:]:
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()
+        else:
+            lines.append(line)
+    for line in lines:
+        name, colon, value = line.partition(":")
+        if colon:
+            out.setdefault(name.strip().lower(), value.strip())
+    return out
+
+
 class WarcReader(DataSourceReader):
     """Plans a partition per archive, and tests pushed predicates on headers before a payload is decoded."""
 
     def __init__(self, options: dict):
         self.folder = options["path"]
         self.payloads = options.get("payloads", "true").lower() == "true"
+        self.verify = options.get("verify", "true").lower() == "true"
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802 (Spark's name)
@@ -157,53 +176,58 @@ class WarcReader(DataSourceReader):
             return
         system, name = filesystem(partition.path)
         with system.open_input_file(name) as file:
-            at, end = 0, file.size()
-            while at < end:
-                at = yield from self._record(file, at)
-
-    def _record(self, file, at: int) -> Iterator[tuple]:
-        """One record's row, if it is wanted; returns where the next record begins."""
-        head = file.read_at(_HEAD.size, at)
-        magic, *_, s, l, _, size, length = _HEAD.unpack(head)
-        if magic != b"\x1f\x8b\x08\x04" or (s, l) != (ord("s"), ord("l")):
-            raise ValueError(f"no record with a skip length at byte {at}")
-        inflate, plain, seen = zlib.decompressobj(-zlib.MAX_WBITS), b"", _HEAD.size
-        while (cut := plain.find(b"\r\n\r\n")) < 0 and len(plain) < _MOST:
-            more = inflate.unconsumed_tail
-            if not more:
-                more = file.read_at(min(_STEP, size - seen), at + seen)
-                seen += len(more)
-            plain += inflate.decompress(more, _STEP)
-        fields = dict(line.split(": ", 1) for line in plain[:cut].decode().split("\r\n")[1:])
-        headers = {k.lower(): v for k, v in fields.items()}
+            stream = opened(file)
+            while stream.next_record():
+                if (row := self._record(stream)) is not None:
+                    yield row
+
+    def _record(self, stream: Plain) -> tuple | None:
+        """The next record's row, if it is wanted; the stream then stands behind the record's block."""
+        head = stream.head()
+        if head is None or not head[0].startswith(b"WARC/"):
+            raise ValueError(f"no record's headers where one should begin: {bytes(stream.held[:40])!r}")
+        stream.skip(head[1])
+        headers = fields(head[0])
         row = {c: self._value(c, headers.get(h)) for c, h in HEADERS.items()}
+        size = int(headers["content-length"])
         if any(row[c] not in values for c, values in self.wanted.items()):
-            return at + size
-        response = row["record_type"] == "response"
-        whole = response and self.payloads
-        while not inflate.eof and (whole or plain.find(b"\r\n\r\n", cut + 4) < 0):
-            more = inflate.unconsumed_tail
-            if not more:
-                more = file.read_at(size - seen if whole else min(_STEP, size - seen), at + seen)
-                seen += len(more)
-            plain += inflate.decompress(more, 0 if whole else _STEP)
-        body = plain.find(b"\r\n\r\n", cut + 4) + 4
-        declared = next(int(x.split(b":")[1]) for x in plain[cut + 4 : body].split(b"\r\n") if x.lower().startswith(b"content-length:"))
-        payload = None
-        if whole:
-            payload = plain[body : cut + 4 + int(headers["content-length"])]
-            if len(payload) != declared or payload_digest(payload) != row["payload_digest"]:
+            stream.skip(size)
+            return None
+        http = headers.get("content-type", "").replace(" ", "").lower().startswith("application/http")
+        inner = stream.head(size) if http else None
+        inner, body = ({}, 0 if not http else size) if inner is None else (fields(inner[0]), inner[1])
+        declared = inner.get("content-length", "")
+        if row["record_type"] == "revisit":
+            stream.skip(size)
+            return (*row.values(), int(declared) if declared.isdecimal() else None, None)
+        if not self.payloads:
+            stream.skip(size)
+            return (*row.values(), size - body, None)
+        stream.skip(body)
+        payload = stream.take(size - body)
+        digest = headers.get(HEADERS["payload_digest"], "")
+        # digests of other kinds, and of payloads as they were before their transfer, aren't compared
+        if digest.lower().startswith("sha1:") and len(digest) == 37 and "transfer-encoding" not in inner:
+            if self.verify and payload_digest(payload) != row["payload_digest"].upper():
                 raise ValueError(f"the payload of {row['record_id']} differs from its headers")
-        yield (*row.values(), declared, payload)
-        return at + size
+        return (*row.values(), size - body, payload)
 
     @staticmethod
     def _value(column: str, value: str | None) -> str | None:
-        return value.removeprefix("sha1:") if value and column == "payload_digest" else value
+        if value is None:
+            return None
+        if column == "payload_digest":
+            return value[5:] if value[:5].lower() == "sha1:" else value
+        return value.removeprefix("<").removesuffix(">") if column == "target_uri" else value
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc").load(folder)``; option ``payloads``: whether to decode payloads."""
+    """``spark.read.format("warc").load(folder)``; options ``payloads``: whether to decode payloads, and ``verify``: whether to compare their SHA-1.
+
+    The folder may hold archives of other writers, plain or in gzip, or be a single file. A payload is what follows the
+    HTTP headers of a response or request, and the whole block of other records; revisits have none, and their
+    ``payload_bytes`` is the length that their HTTP headers give, if any.
+    """
 
     @classmethod
     def name(cls) -> str:

@@ -96,3 +96,57 @@ def test_predicates_reach_the_reader(spark, tmp_path):
 def test_archive_of_whole_table(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     assert Counter(map(tuple, warc.archive_digest(pages).collect())) == brute_archive([(r.page_id, r.html) for r in pages.collect()])
+
+
+def standard_records(newline="\r\n"):
+    """An archive by hand: warcinfo, request, response, chunked response, revisit without HTTP headers, resource."""
+    long_url = "http://h/" + "x" * 3000
+    http = "HTTP/1.1 200 OK\r\nServer: a\r\nContent-Type: text/html\r\n\r\n".encode()
+    chunked = "HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n".encode()
+    sha1 = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    page, web = b"<p>one</p>\r\n\r\ntwo\n\n", "application/http;msgtype="
+    records = [
+        ("warcinfo", "application/warc-fields", b"software: x\r\n\r\n", None, {}),
+        ("request", web + "request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", None, {"WARC-Target-URI": "<http://h/1>"}),
+        ("response", web + "response", http + page, sha1(page), {"WARC-Target-URI": long_url}),
+        ("response", web + "response", chunked + b"3\r\nabc\r\n0\r\n\r\n", sha1(b"abc"), {"WARC-Target-URI": "http://h/3"}),
+        ("revisit", web + "response", b"", sha1(page), {"WARC-Refers-To": "<urn:2>"}),
+        ("resource", "text/plain", "é".encode() * 100_000, "sha256:00", {"X-Folded": "a\r\n b", "WARC-Target-URI": "http://h/5"}),
+        ("response", web + "response", b"HTTP/1.1 204 No Content\r\nA: b\r\n\r\n", None, {}),
+    ]
+    out = []
+    for k, (kind, media, block, digest, more) in enumerate(records):
+        lines = [f"content-type: {media}", f"WARC-Record-ID: <urn:{k}>", f"Content-Length: {len(block)}", f"WARC-Type:{kind}"]
+        lines += [f"{n}: {v}" for n, v in more.items()] + ([f"WARC-Payload-Digest: {digest}"] if digest else [])
+        out.append(newline.join(["WARC/1.0", *lines, "", ""]).encode() + block + b"\r\n\r\n")
+    want = [
+        ("warcinfo", "<urn:0>", None, 15, b"software: x\r\n\r\n"), ("request", "<urn:1>", "http://h/1", 0, b""),
+        ("response", "<urn:2>", long_url, len(page), page), ("response", "<urn:3>", "http://h/3", 13, b"3\r\nabc\r\n0\r\n\r\n"),
+        ("revisit", "<urn:4>", None, None, None), ("resource", "<urn:5>", "http://h/5", 200_000, "é".encode() * 100_000),
+        ("response", "<urn:6>", None, 0, b""),
+    ]
+    return out, want
+
+
+@pytest.mark.parametrize("newline", ["\r\n", "\n"])
+@pytest.mark.parametrize("form", ["plain", "members", "one member"])
+def test_ordinary_archives(spark, tmp_path, form, newline):
+    records, want = standard_records(newline)
+    data = {"plain": b"".join(records), "members": b"".join(map(gzip.compress, records)), "one member": gzip.compress(b"".join(records))}[form]
+    (tmp_path / "x.warc").write_bytes(data)
+    (tmp_path / "empty.warc").write_bytes(b"")
+    for path in (f"file://{tmp_path}", f"file://{tmp_path}/x.warc"):
+        got = warc.read_archives(spark, path)
+        assert [(r.record_type, r.record_id, r.target_uri, r.payload_bytes, r.payload and bytes(r.payload)) for r in got.collect()] == want
+    assert [r.record_id for r in got.where("record_type = 'resource'").collect()] == ["<urn:5>"]
+    bare = warc.read_archives(spark, f"file://{tmp_path}", payloads=False).collect()
+    assert [(r.record_id, r.payload_bytes, r.payload) for r in bare] == [(w[1], w[3], None) for w in want]
+    (tmp_path / "x.warc").write_bytes(data[: len(data) * 2 // 3])
+    with pytest.raises(Exception, match="cut short"):
+        warc.read_archives(spark, f"file://{tmp_path}").collect()
+
+
+def test_very_long_headers(spark):
+    rows = [(1, "data:" + "u" * 1_200_000, "a"), (2, "http://h/", "a"), (3, None, "b")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert Counter(map(tuple, warc.archive_digest(pages).collect())) == brute_archive([(i, h) for i, _, h in rows])
