@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -11,37 +12,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Notices by identifier, public texts in common use.
-TEMPLATES: dict[str, str] = {
-    "MIT": "Released under the MIT License.",
-    "MIT-full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-    " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the"
-    " rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit"
-    " persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and"
-    " this permission notice shall be included in all copies or substantial portions of the Software.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
-    " compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-    " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any"
-    " later version.",
-    "BSD-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
-    " the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of"
-    " conditions and the following disclaimer.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
-    " granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
-    "reserved": "All rights reserved.",
-}
+from tallyworks.llm.notices import templates
+
+#: Texts and notices by name.
+TEMPLATES: dict[str, str] = templates()
 #: Share of a notice's words that must align.
 LEAST = 0.75
 #: Words too common to point at a notice.
 _COMMON = frozenset("a all an and any are as at be by for from in is it of on or that the this to use with you your".split())
+#: Notices of at most so many words must align whole but for these words ...
+_SHORT = 12
+_WEAK = frozenset(b"this work is the of licensed released under license version".split())
+#: ... and longer ones in the names of licenses; all must in numbers of versions.
+_NAMES = frozenset(b"affero apache gnu lesser mit mozilla".split())
+_VERSION = re.compile(rb"v?\d+(\.\d+)*\Z")
 _STRIP = b"\"'.,;:!?()[]{}<>*#%&|$`"
 
 
@@ -104,6 +88,23 @@ def align(text: list[bytes], notice: list[bytes]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def must_align(notice: list[bytes]) -> frozenset[int]:
+    """Places of a notice without which a text is another license or none."""
+    short = len(notice) <= _SHORT
+    return frozenset(k for k, w in enumerate(notice) if _VERSION.match(w) or w in _NAMES or (short and w not in _WEAK))
+
+
+def compact(pairs: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """The most consecutive pairs that lie within so many words of the text, the first such."""
+    best, low = (0, 0), 0
+    for high in range(len(pairs)):
+        while pairs[high][0] - pairs[low][0] >= width:
+            low += 1
+        if high + 1 - low > best[1] - best[0]:
+            best = (low, high + 1)
+    return pairs[best[0] : best[1]]
+
+
 class Scanner:
     """Finds the notices in a text."""
 
@@ -111,14 +112,25 @@ class Scanner:
         self.least = least
         self.notices = {name: words_of(t.encode()) for name, t in templates.items()}
         self.counts = {name: Counter(w) for name, w in self.notices.items()}
+        self.needed = {name: must_align(notice) for name, notice in self.notices.items()}
+        self.least_words = {name: max(1, math.ceil(least * len(notice) - 1e-9)) for name, notice in self.notices.items()}
+        # words of a notice that matter for where it is; one of common words alone is looked for by them
+        self.telling = {
+            name: frozenset(w for w in c if w.decode() not in _COMMON) or frozenset(c) for name, c in self.counts.items()
+        }
         self.by_word: dict[bytes, list[str]] = {}
         for name, notice in self.notices.items():
-            for w in set(notice):
-                # a notice of common words alone is looked for by them
-                if w.decode() not in _COMMON or all(x.decode() in _COMMON for x in notice):
-                    self.by_word.setdefault(w, []).append(name)
+            for w in self._signs(name, notice):
+                self.by_word.setdefault(w, []).append(name)
         self.pattern = re.compile(b"|".join(sorted(map(re.escape, self.by_word), key=len, reverse=True)) or b"(?!)")
 
+    def _signs(self, name: str, notice: list[bytes]) -> set[bytes]:
+        """Words of which a text with the notice has at least one: a word that must align, or more than may be missing."""
+        if needed := self.needed[name]:
+            return {max((notice[k] for k in needed), key=lambda w: (len(w), w))}
+        longest = sorted(notice, key=lambda w: (-len(w), w))
+        return set(longest[: len(notice) - self.least_words[name] + 1])
+
     def _regions(self, text: list[bytes], name: str, hits: list[int]) -> Iterator[tuple[int, int]]:
         """Stretches of the text around words of a notice, that begin anew where a word comes once too often."""
         size, most = len(self.notices[name]), self.counts[name]
@@ -134,49 +146,64 @@ class Scanner:
         if first >= 0:
             yield first, last
 
+    def _may_align(self, name: str, words: list[bytes]) -> bool:
+        """Whether a stretch of text has enough of a notice's words, in any order, and those that must align."""
+        there, most = Counter(words), self.counts[name]
+        if any(not there[self.notices[name][k]] for k in self.needed[name]):
+            return False
+        return sum(min(n, there[w]) for w, n in most.items()) >= self.least_words[name]
+
+    def _find(self, text: list[bytes], name: str, places: list[int]) -> Iterator[tuple[str, float, int, int]]:
+        notice = self.notices[name]
+        regions = list(self._regions(text, name, places))
+        for k, (first, last) in enumerate(regions):
+            # as far as the notice's length to both sides, with and without what belongs to other regions
+            low, high = max(0, first - len(notice)), min(len(text), last + len(notice) + 1)
+            if not self._may_align(name, text[low:high]):
+                continue
+            after = max(low, regions[k - 1][1] + 1) if k else low
+            until = min(high, regions[k + 1][0]) if k + 1 < len(regions) else high
+            tried = []
+            for lo, hi in {(low, high), (after, high), (low, until), (after, until)}:
+                # the notice stands together: words far before or after the rest are chance
+                pairs = compact(align(text[lo:hi], notice), len(notice) + len(notice) // 4)
+                if len(pairs) >= self.least_words[name] and self.needed[name] <= {y for _, y in pairs}:
+                    start, width = lo + pairs[0][0], pairs[-1][0] - pairs[0][0]
+                    tried.append((-len(pairs), width, abs(start - first), start))
+            if tried:
+                n, width, _, start = min(tried)  # of equal finds the one beside the region's first word
+                yield name, -n / len(notice), start, start + width
+
     def scan(self, data: bytes) -> list[tuple[str, float, int, int]]:
         """(notice, coverage, first word, last word) of every notice found, best first; of overlapping finds the best alone."""
         if not self.pattern.search(data.lower()):
             return []
         text = words_of(data)
-        hits: dict[str, list[int]] = {}
+        where: dict[bytes, list[int]] = {}
         for at, w in enumerate(text):
-            for name in self.by_word.get(w, ()):
-                hits.setdefault(name, []).append(at)
-        found = []
-        for name, places in hits.items():
-            notice = self.notices[name]
-            regions = list(self._regions(text, name, places))
-            for k, (first, last) in enumerate(regions):
-                # as far as the notice's length to both sides, with and without what belongs to other regions
-                low, high = max(0, first - len(notice)), min(len(text), last + len(notice) + 1)
-                after = max(low, regions[k - 1][1] + 1) if k else low
-                until = min(high, regions[k + 1][0]) if k + 1 < len(regions) else high
-                tried = [(lo, align(text[lo:hi], notice)) for lo, hi in {(low, high), (after, high), (low, until), (after, until)}]
-                low, pairs = max(tried, key=lambda t: (len(t[1]), t[0]))
-                # the notice stands together: words far before or after the rest are chance
-                pairs = [p for p in pairs if first <= p[0] + low <= last or self._beside(p, pairs)]
-                coverage = len(pairs) / len(notice)
-                if pairs and coverage >= self.least:
-                    found.append((name, coverage, low + pairs[0][0], low + pairs[-1][0]))
-        found.sort(key=lambda f: (-f[1] * len(self.notices[f[0]]), f[0], f[2]))
+            where.setdefault(w, []).append(at)
+        found = set()
+        for name in sorted({n for w in self.by_word.keys() & where.keys() for n in self.by_word[w]}):
+            places = sorted(p for w in self.telling[name] for p in where.get(w, ()))
+            found.update(self._find(text, name, places))
         out: list[tuple[str, float, int, int]] = []
-        for f in found:
-            if all(f[3] < o[2] or f[2] > o[3] for o in out):
+        taken: list[tuple[int, int]] = []  # in order, without overlaps
+        for f in sorted(found, key=lambda f: (-round(f[1] * len(self.notices[f[0]])), -f[1], f[0], f[2])):
+            at = bisect.bisect_left(taken, (f[2], f[2]))
+            if (at == 0 or taken[at - 1][1] < f[2]) and (at == len(taken) or taken[at][0] > f[3]):
+                taken.insert(at, (f[2], f[3]))
                 out.append(f)
         return out
 
-    @staticmethod
-    def _beside(pair: tuple[int, int], pairs: list[tuple[int, int]]) -> bool:
-        return any(abs(x - pair[0]) == 1 and abs(y - pair[1]) == 1 for x, y in pairs)
-
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """(doc_id, license, coverage, first_word, last_word, n_notices, notices): the notices in every text.
 
     ``license`` is the notice with the most aligned words, with its coverage and the places of its first
     and last word; ``notices`` lists all found, without repeats, in order. A text without any, and a null or empty one, has nulls, coverage 0 and no
-    notices. Whole texts are scanned. Ties go by the notice's name, then place. A null doc_id stays; repeated rows
+    notices. Whole texts are scanned. Names of licenses and numbers of versions must align, and the whole of short notices but for words
+    like "licensed"; the find must lie within a stretch a quarter longer than its notice. Of an expression of identifiers the
+    first counts. Ties go to the notice found whole, then by the notice's name, then place. A null doc_id stays; repeated rows
     give a row each; further columns are ignored; no rows give no rows.
     """
 
