@@ -104,7 +104,8 @@ class Packer:
         elif len(piece.ids):
             self._keep(piece)
             if len(self.pieces) >= POOL:
-                self._pack()
+                for left in self._pack():
+                    self._keep(left)
 
     def _pack(self) -> list[Piece]:
         """Fill windows while pieces last; returns the pieces of a last window that stays short."""

@@ -71,6 +71,20 @@ def test_pieces(spark, documents, library, monkeypatch):
     assert packing.pack(documents([])).count() == 0
 
 
+def test_full_pool_keeps_what_fills_no_window(monkeypatch):
+    monkeypatch.setattr(packing, "POOL", 9)
+    packer = packing.Packer((64, 128), 1 << 10, 0)
+    rng = random.Random(5)
+    sizes = [3] * 9 + [rng.randrange(1, 200) for _ in range(300)]
+    for i, n in enumerate(sizes):
+        packer.add(i, np.arange(n, dtype=np.int32))
+    packer.flush()
+    held = defaultdict(int)
+    for row in packer.rows:
+        held[row[0]] += row[2]
+    assert held == dict(enumerate(sizes))
+
+
 def test_whole_table(spark, sf_dir, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     check(packing.pack(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()], library)
