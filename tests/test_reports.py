@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from checks.adapters import AS_OF, LEDGER_AS_OF, TABLES, adapted, on_spark
 from tallyworks import plans
 from tallyworks.operators import reconcile
-from tallyworks.plans import capacity, labels, transit
-from tallyworks.plans.cost_overview import cost_overview
+from tallyworks.plans import capacity, cost_base, labels, transit
+from tallyworks.plans.cost_overview import _regions, cost_overview
 from tallyworks.session import LazyTables, Workspace, shared_dir, stage
 from tallyworks.sources import Sources, inline
 from tallyworks.sources import constants as const
@@ -303,3 +303,15 @@ def test_client_and_dates_choose_the_folders(spark, sf_dir, tmp_path):
     assert rows(due) == rows(capacity.due_lines(direct, pallets, AS_OF, 30))
     listed = src.table("vbep").filter("mandt = '030'").select("tddat_month").distinct().count()
     assert listed == on_spark(spark, sf_dir, "SELECT DISTINCT substring(tddat, 1, 6) FROM vbep").count()
+
+
+def test_growing_dimensions_are_never_broadcast(spark, sf_dir):
+    src = adapted(spark, sf_dir)
+    costs = cost_base.costs(src)
+    joined = cost_base.with_centers(src, cost_base.with_allocation(src, costs, by_id=True), by_id=True)
+    joined = cost_base.with_applications(src, joined, by_id=True).withColumnRenamed("tco_cost_financial_plan", cost_base.PLAN)
+    plan = joined.join(_regions(src), ["tco_applicationid", cost_base.PLAN], "left")
+    assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+    shared = plans.shared_cost(src, reuse=False)._jdf.queryExecution().executedPlan().toString()
+    by_application = [line for line in shared.split("\n") if "Join" in line and "[tco_applicationid#" in line]
+    assert by_application and all("SortMergeJoin" in line for line in by_application)
