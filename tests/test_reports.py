@@ -315,3 +315,13 @@ def test_growing_dimensions_are_never_broadcast(spark, sf_dir):
     shared = plans.shared_cost(src, reuse=False)._jdf.queryExecution().executedPlan().toString()
     by_application = [line for line in shared.split("\n") if "Join" in line and "[tco_applicationid#" in line]
     assert by_application and all("SortMergeJoin" in line for line in by_application)
+
+
+def test_stock_items_are_joined_once(spark, sf_dir):
+    src = adapted(spark, sf_dir)
+    plan = capacity._stock(src, capacity._pallets(src, const.PALLETS_PLANT))._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    first = next(i for i, line in enumerate(lines) if "Join Inner" in line)
+    depth = lines[first].index("Join")
+    left = [line for line in lines[first + 1 :] if line[depth : depth + 1] == ":"]
+    assert left and not any("Join" in line for line in left)
