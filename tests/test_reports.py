@@ -325,3 +325,13 @@ def test_stock_items_are_joined_once(spark, sf_dir):
     depth = lines[first].index("Join")
     left = [line for line in lines[first + 1 :] if line[depth : depth + 1] == ":"]
     assert left and not any("Join" in line for line in left)
+
+
+def test_totals_do_not_store_all_sales(spark, sf_dir, monkeypatch):
+    stored = []
+    monkeypatch.setattr(transit, "stage", lambda df, name: stored.append(name) or df)
+    tables = transit.transit_tables(adapted(spark, sf_dir), LEDGER_AS_OF)
+    tables["base"], tables["match_diagnostic"]
+    assert "sales" not in stored and stored.count("sales-totals") == 1
+    tables["sales_base"]
+    assert stored.count("sales") == 1
