@@ -335,3 +335,27 @@ def test_totals_do_not_store_all_sales(spark, sf_dir, monkeypatch):
     assert "sales" not in stored and stored.count("sales-totals") == 1
     tables["sales_base"]
     assert stored.count("sales") == 1
+
+
+def test_values_of_sales_are_moved_for_one_join(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = transit.sales(adapted(spark, sf_dir), LEDGER_AS_OF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(re.match(r"[\s:+-]*", line)[0]) for line in plan]
+    at = next(i for i, line in enumerate(plan) if re.search(r"AS (vv100|sum_sales)#", line))
+    above, moved = depth[at], 0
+    for i in range(at, -1, -1):
+        if depth[i] < above:
+            above = depth[i]
+            moved += "Exchange" in plan[i]
+    assert moved == 1
+
+
+def test_sales_are_not_repeated_for_bands(spark):
+    sales = spark.range(20).select(F.lit("r").alias("nota"), (F.col("id") / 7).cast("decimal(12,2)").alias("s_amt"))
+    ledger = spark.createDataFrame([("r", 1.0)], "ref string, l_amt double")
+    s, l = reconcile.in_bands(sales, ledger, "s_amt", "l_amt", "0.1")
+    assert s.count() == 20 and l.count() == 2
