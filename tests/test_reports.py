@@ -359,3 +359,15 @@ def test_sales_are_not_repeated_for_bands(spark):
     ledger = spark.createDataFrame([("r", 1.0)], "ref string, l_amt double")
     s, l = reconcile.in_bands(sales, ledger, "s_amt", "l_amt", "0.1")
     assert s.count() == 20 and l.count() == 2
+
+
+def test_partners_found_by_both_keys_are_stored_once(spark, invoices, monkeypatch):
+    module = importlib.import_module("tallyworks.plans.invoice_check")
+    stored = {}
+    monkeypatch.setattr(module, "stage", lambda df, name: stored.setdefault(name, stage(df, name)))
+    src = Sources.from_parquet(spark, invoices)
+    plans.invoice_check(src, dt.date(1998, 6, 1))
+    pairs = stored["invoice-pairs"]
+    assert pairs.filter("by_primary AND found").count() > 0
+    assert pairs.filter("NOT by_primary AND found AND access_key = tax_access_key").count() == 0
+    assert pairs.filter("NOT by_primary AND found").count() > 0 and pairs.filter("NOT by_primary AND NOT found").count() > 0
