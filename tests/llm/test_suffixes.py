@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyworks.llm import suffixes
 
@@ -78,3 +79,22 @@ def test_whole_table(spark, sf_dir):
     rows = docs.collect()
     want = {r.doc_id: w for r, w in zip(rows, brute([r.text for r in rows], 400))}
     assert {r[0]: tuple(r[1:]) for r in suffixes.repeat_digests(docs).collect()} == want
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from tallyworks.llm.shared import staged
+
+    def kept():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(blocks.apply(i).length() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_"))
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before, before = spark.conf.get(name), kept()
+    rows = staged(spark.range(200_000).groupBy((F.col("id") % 100_000).alias("k")).count(), "shuffles")
+    end = time.time() + 20
+    while kept() > before and time.time() < end:
+        time.sleep(0.2)
+    assert kept() <= before and spark.conf.get(name) == set_before
+    assert rows.count() == 100_000
