@@ -81,6 +81,18 @@ def test_whole_table(spark, sf_dir):
     assert {r[0]: tuple(r[1:]) for r in suffixes.repeat_digests(docs).collect()} == want
 
 
+def test_last_step_moves_texts_and_merged_spans_only(spark, documents, capsys):
+    rng = random.Random(7)
+    passage, other = ("".join(rng.choice("abcdefg ") for _ in range(900)) for _ in range(2))
+    rows = [(1, "a" + passage + "b" + other), (2, passage), (3, "own text"), (4, passage[:450] + "-" + other[300:]), (5, None)]
+    cut = suffixes._with_spans(documents(rows), 400, 2)
+    capsys.readouterr()
+    cut.explain()
+    assert capsys.readouterr().out.count("Exchange ") == 2
+    got = {r.doc_id: r.spans and [tuple(s) for s in r.spans] for r in cut.collect()}
+    assert got == {1: [(1, 901), (1202, 1802)], 2: [(0, 900)], 3: None, 4: [(0, 450), (451, 1051)], 5: None}
+
+
 def test_staged_tables_leave_no_shuffle_files(spark):
     import time
 
