@@ -16,7 +16,7 @@ from tallyworks.llm.shared import trim_memory
 #: Pieces that a task holds before it packs; it bounds memory and changes only who shares a window.
 POOL = 512
 #: Ids of documents encoded by one call, in bytes of text.
-ENCODE_BYTES = 1 << 22
+ENCODE_BYTES = 1 << 24
 
 _COLUMNS = {
     "doc_id": pa.int64(),

@@ -88,3 +88,13 @@ def test_full_pool_keeps_what_fills_no_window(monkeypatch):
 def test_whole_table(spark, sf_dir, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     check(packing.pack(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()], library)
+
+
+def test_full_cache_keeps_words_in_use(monkeypatch):
+    monkeypatch.setattr(tokenize, "CACHED_WORDS", 40)
+    encoder, learned = tokenize.WordEncoder(tokenize.tokenizer_path()), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new, first: (learned.extend(new), learn(new, first)))
+    for batch in range(30):
+        encoder.encode(["the same " + " ".join(f"w{batch}x{k}" for k in range(9))] * 3)
+    assert learned.count("same") == 1 and len(encoder.words) + len(encoder.old) <= 80
