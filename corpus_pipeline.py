@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import language, mixing, packing, simhash, suffixes
-from tallyworks.llm.shared import new_folder
+from tallyworks.llm import language, mixing, packing, passages, simhash, suffixes
+from tallyworks.llm.shared import new_folder, staged
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,8 +16,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each SimHash group: the one with the smallest doc_id; passages of over 50 words that several of them share go."""
+    return passages.remove_passages(staged(simhash.drop_near_duplicates(docs), "simhash-kept"))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
