@@ -1,6 +1,7 @@
 """Reports over stored tables: sources, pushdown, options and agreement between variants."""
 
 import datetime as dt
+import decimal
 import importlib
 import re
 from collections import Counter
@@ -371,3 +372,87 @@ def test_partners_found_by_both_keys_are_stored_once(spark, invoices, monkeypatc
     assert pairs.filter("by_primary AND found").count() > 0
     assert pairs.filter("NOT by_primary AND found AND access_key = tax_access_key").count() == 0
     assert pairs.filter("NOT by_primary AND found").count() > 0 and pairs.filter("NOT by_primary AND NOT found").count() > 0
+
+
+def moved(df, column):
+    """Columns of each exchange of a query that moves ``column``."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    found = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+    return [{c.split("#")[0] for c in columns.split(", ")} for columns in found if re.search(rf"\b{column}#", columns)]
+
+
+def test_invoice_check_moves_headers_partners_and_lines_once(spark, invoices, monkeypatch):
+    module = importlib.import_module("tallyworks.plans.invoice_check")
+    seen = written_plans(monkeypatch, module)
+    settings = {"spark.sql.debug.maxToStringFields": "200", "spark.sql.autoBroadcastJoinThreshold": "1k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        result = plans.invoice_check(Sources.from_parquet(spark, invoices), dt.date(1998, 6, 1))
+        assert len(moved(result, "tax_protocol")) == 1
+        lookups = [moved(df, "access_key") for df in seen]
+        assert not [columns for found in lookups for columns in found if {"user", "crenam", "total_value", "nftot"} & columns]
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        final = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")]
+        assert re.search(r"ReusedExchange \[doc_num#\d+, item_value#", final)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_headers_meet_the_pairs_of_equal_keys_and_nulls(spark):
+    check = importlib.import_module("tallyworks.plans.invoice_check")
+    keys = [("d", "k", "1", "i"), ("d", None, "1", "i"), ("d", "", "1", "i"), ("d", "k", None, "i"), ("e", "k", "1", None), (None, "k", "1", "i")]
+    h = spark.createDataFrame([(*k, n) for n, k in enumerate(keys)], "doc_num string, access_key string, number string, issuer_tax_id string, n int")
+    p = h.withColumnRenamed("n", "m").union(h.filter("n = 1"))
+    got = sorted((r.n, r.m) for r in check.with_partners(h, p).collect())
+    assert got == [(0, 0), (1, 1), (1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_invoice_check_lists_repeated_and_unknown_rows_once(spark):
+    """Repeated lines, headers, contacts and tax rows, unknown numbers and keys, an invoice without lines: against hand-made rows."""
+    key, other = "1" * 44, "2" * 44
+    doc = "docnum string, nftot decimal(13,2), cnpj_bupla string, cgc string, docdat string, nfenum string, crenam string, parid string, name1 string, "
+    doc += "pstdat string, credat string, nfesrv string, belnr string, bukrs string, gjahr string, cancel string, direct string, form string, model string, mandt string"
+
+    def header(num, number, issuer="7"):
+        day = "19980102"
+        return (num, D("9.00"), "5", issuer, day, number, "u", "p", "n", day, day, " ", num, "1", "1998", " ", "1", " ", "55", "300")
+
+    D = decimal.Decimal
+    parts = ("regio", "nfyear", "nfmonth", "stcd1", "model", "serie", "nfnum9", "docnum9", "cdv")
+    active = [("a", key), ("b", None), ("c", other), ("d", key)]
+    line = ("300", D("1.00"), D("2.00"), D("0.00"), D("0.00"), D("0.00"))
+    tax = [
+        ("P", k, f, D("0.00"), D("0.00"), D("0.00"), 5, int(i), D("9.00"), dt.date(1998, 1, 2), "p" + k[:1], int(n), "19980102000000")
+        for k, n, i, f in ((key, "1", "7", D("4.00")), (key, "1", "7", D("4.00")), ("short", "3", "7", D("2.00")))
+    ]
+    taxes = "processo string, chave_de_acesso string, valor_total_do_frete decimal(13,2), valor_total_do_seguro decimal(13,2), valor_total_do_desconto decimal(13,2), "
+    taxes += "outros_custos_adicionais decimal(13,2), cnpj_dest long, cnpj_emitente long, valor_total_incl_impostos decimal(13,2), data_documento date, "
+    taxes += "numero_protocolo string, numero_nfe long, data_hora_emissao string"
+    lines = [("a", *line), ("a", *line), ("b", *line), ("c", *line), ("c", "300", D("1.00"), None, None, None, None)]
+    frames = {
+        "j_1bnfdoc": spark.createDataFrame([header("a", "000000001", "00000000000007"), header("b", "2"), header("c", "000000003", "00000000000007"), header("d", "9"), header("a", None, None)], doc),
+        "j_1bnfe_active": spark.createDataFrame([(n, k, *[""] * 8, "300") for n, k in active], ", ".join(f"{c} string" for c in ("docnum", *parts, "mandt"))),
+        "j_1bnflin": spark.createDataFrame(lines, "docnum string, mandt string, " + ", ".join(f"{c} decimal(13,2)" for c in ("netwr", "nffre", "nfins", "nfdis", "nfoth"))),
+        "sa_g3p_invoices": spark.createDataFrame(tax, taxes),
+        "sa_excel_tax_plant_xref": spark.createDataFrame([("5", "C1", "m1"), ("5", "C2", "m2"), ("5", "C2", "m2"), (None, "C3", "m3")], "cnpj string, centro string, email string"),
+    }
+    for reuse in (True, False):
+        got = Counter(
+            (r.doc_num, r.number, r.center, r.tax_access_key, None if r.freight is None else float(r.freight), r.status, r.message.strip())
+            for r in plans.invoice_check(Sources.from_frames(spark, frames), dt.date(1998, 6, 1), reuse=reuse).collect()
+        )
+        bad, wrong, right = const.INVOICE_STATUS
+        tax_id, freight, apart = (const.INVOICE_MESSAGES[i].strip() for i in (2, 5, 13))
+        expected = Counter()
+        for number in ("000000001", None):  # contact C2 stands twice, which doubles the totals of its headers
+            for center in ("C1", "C2"):
+                for message in (tax_id, f"{tax_id} {freight}"):
+                    expected["a", number, center, key, 2.0, wrong, message] += 1
+        for center in ("C1", "C2"):
+            for value in (2.0, None):
+                expected["c", "000000003", center, "short", value, wrong, apart] += 1
+        assert got == expected
